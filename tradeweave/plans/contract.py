@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tradeweave.plans.oracle_base import sql
 from tradeweave.sources import contract as C
-from tradeweave.sources.tables import Tables
+from tradeweave.sources.mart import Mart
 
 SHIPMENT_COLUMNS = [
     "shipment_id", "origin_port", "destination_port", "depart_date", "planned_transit_days", "vessel_speed_ratio",
@@ -24,12 +24,12 @@ SHOCK_COLUMNS = [
     "delta_port_congestion", "delta_inventory_turnover", "dio_change", "dso_change", "dpo_change", "ccc_change"]
 
 QUERIES = {
-    "table_nodes": lambda s, d: C.entity_nodes(Tables(s, d)),
-    "table_edges": lambda s, d: C.all_edges(Tables(s, d)),
-    "table_time_series": lambda s, d: C.port_series(Tables(s, d)),
-    "table_shipments": lambda s, d: C.shipments(Tables(s, d)).select(*SHIPMENT_COLUMNS),
-    "table_lc_transactions": lambda s, d: C.lc_transactions(Tables(s, d)).select(*LC_COLUMNS),
-    "table_working_capital_shocks": lambda s, d: C.working_capital_shocks(Tables(s, d)).select(*SHOCK_COLUMNS),
+    "table_nodes": lambda s, d: Mart(s, d).nodes,
+    "table_edges": lambda s, d: Mart(s, d).edges,
+    "table_time_series": lambda s, d: Mart(s, d).series,
+    "table_shipments": lambda s, d: Mart(s, d).shipments.select(*SHIPMENT_COLUMNS),
+    "table_lc_transactions": lambda s, d: Mart(s, d).lc.select(*LC_COLUMNS),
+    "table_working_capital_shocks": lambda s, d: Mart(s, d).shocks.select(*SHOCK_COLUMNS),
 }
 
 ORACLES = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         builder = builder.master(master).config("spark.driver.memory", "12g")
@@ -36,7 +38,13 @@ def shared_dir(spark: SparkSession) -> str:
     return current
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss, unlike block-manager copies."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stage(df: DataFrame) -> DataFrame:
+    """Write once to the shared folder and read back.
+
+    Cuts lineage for loops and shares a result between several uses. The copy survives the loss of any
+    executor, is columnar (later readers prune it) and carries a size the optimizer can check.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tradeweave.functions.scalar import (
     brand_number, clip, days_from_turnover, entity_id, logistic, lookup, ratio, settle, stable_hash)
 from tradeweave.operators import scorecards
+from tradeweave.session import stage
 from tradeweave.sources.tables import Tables
 
 # Node and edge types.
@@ -74,65 +75,103 @@ def _customers(t: Tables, region: bool) -> DataFrame:
     return cust
 
 
+# ------------------------------------------------------------------ one pass over the lines
+def grouping_pass(lines: DataFrame, sets: list[tuple[str, ...]], measures: list[Column]) -> tuple[DataFrame, dict]:
+    """Aggregate many key sets in one scan (grouping sets), instead of one scan and join chain per set.
+
+    Returns the rows and the grouping id of each set. Partial aggregation runs before the only shuffle,
+    so a key that holds a third of the lines arrives as one row per map task.
+    """
+    keys = list(dict.fromkeys(k for s in sets for k in s))
+    # the grouping id has one bit per key column that is not in the set, first key highest
+    bit = {k: 1 << (len(keys) - 1 - i) for i, k in enumerate(keys)}
+    ids = {s: sum(b for k, b in bit.items() if k not in s) for s in sets}
+    rows = lines.groupingSets([list(s) for s in sets], *keys).agg(F.grouping_id().alias("gid"), *measures)
+    return rows, ids
+
+
 # ------------------------------------------------------------------ nodes
+ENTITY_KEYS = {"supplier": "l_suppkey", "manufacturer": "brand_no", "logistics_provider": "l_linenumber",
+               "port": "s_nationkey", "financial_institution": "n_regionkey", "customer": "o_custkey"}
+FLOW_PAIRS = [("supplier", "manufacturer"), ("manufacturer", "customer")]
+
+
 def node_keys(t: Tables) -> DataFrame:
-    """All entities of all six types, also those that never traded."""
-    def ids(df: DataFrame, node_type: str, key: str, nation: Column | None) -> DataFrame:
-        nation = F.lit(None) if nation is None else nation
+    """Entities listed in the dimension tables, also those that never traded (carriers only exist in lines)."""
+    def ids(df: DataFrame, node_type: str, key: str, nation: str | None) -> DataFrame:
+        nation = F.lit(None) if nation is None else F.col(nation)
         return df.select(entity_id(node_type, F.col(key)).alias("node_id"), F.lit(node_type).alias("node_type"),
                          nation.cast("int").alias("nation_key"))
 
     brands = t.part.select(brand_number(F.col("p_brand")).alias("brand_no")).distinct()
-    carriers = t.lineitem.select("l_linenumber").distinct()
     keys = (
-        ids(t.supplier, "supplier", "s_suppkey", F.col("s_nationkey"))
+        ids(t.supplier, "supplier", "s_suppkey", "s_nationkey")
         .unionByName(ids(brands, "manufacturer", "brand_no", None))
-        .unionByName(ids(carriers, "logistics_provider", "l_linenumber", None))
-        .unionByName(ids(t.nation, "port", "n_nationkey", F.col("n_nationkey")))
+        .unionByName(ids(t.nation, "port", "n_nationkey", "n_nationkey"))
         .unionByName(ids(t.region, "financial_institution", "r_regionkey", None))
-        .unionByName(ids(t.customer, "customer", "c_custkey", F.col("c_nationkey")))
+        .unionByName(ids(t.customer, "customer", "c_custkey", "c_nationkey"))
     )
     names = t.nation.select(F.col("n_nationkey").alias("nation_key"), F.col("n_name").alias("country"))
     return keys.join(names, "nation_key", "left")
 
 
-def entity_measures(t: Tables) -> DataFrame:
-    """Operating measures per entity: one scan, grouping sets with partial aggregation, no per-type pass."""
+def entity_profile(t: Tables) -> DataFrame:
+    """Operating measures and flow concentration of every entity from a single pass over the lines.
+
+    Key sets: one per entity type, plus the two material-flow pairs. A pair row then feeds the squared value
+    of its flow to both ends; the Herfindahl index is (sum v^2) / (sum v)^2, so no hub's list is collected.
+    """
     lines = trade_lines(t, orders=True, part=True, supplier=True, customer=True, region=True)
     late = F.col("lead_days") > OTIF_LIMIT_DAYS
-    keys = ["l_suppkey", "brand_no", "l_linenumber", "s_nationkey", "n_regionkey", "o_custkey"]
-    own_balance = F.col("s_acctbal")
-    measures = [
-        F.count(F.lit(1)).alias("n_lines"),
-        F.round(F.sum("l_extendedprice"), 2).alias("revenue"),
-        settle(F.avg(own_balance)).alias("supplier_balance"),
-        settle(F.avg("c_acctbal")).alias("customer_balance"),
-        F.round(F.sum(F.col("l_extendedprice") * F.col("l_tax")), 4).alias("freight"),
-        F.round(F.sum(F.col("l_extendedprice") * F.col("l_discount")), 4).alias("discount"),
-        settle(F.avg("l_quantity")).alias("avg_quantity"),
-        settle(F.avg(F.when(late, 0.0).otherwise(1.0))).alias("otif_rate"),
-        settle(F.avg("lead_days")).alias("lead_time_mean"),
-        settle(F.coalesce(F.stddev_samp("lead_days"), F.lit(0.0))).alias("lead_time_std"),
-        settle(F.avg((F.col("l_returnflag") == "R").cast("double"))).alias("return_rate"),
-        settle(F.avg((F.col("l_linestatus") == "F").cast("double"))).alias("fill_rate"),
-        settle(F.avg((F.col("o_orderstatus") == "P").cast("double"))).alias("pending_rate"),
-        settle(F.avg((F.col("o_orderstatus") == "O").cast("double"))).alias("open_rate"),
-        F.min("ship_day").alias("first_day"),
-        F.min(F.when(late, F.col("ship_day"))).alias("first_late_day"),
-    ]
-    rolled = lines.groupingSets([[k] for k in keys], *keys).agg(F.grouping_id().alias("gid"), *measures)
-    # grouping_id sets one bit per column that is NOT grouped, first column highest
-    def gid(i: int) -> int:
-        return (2 ** len(keys) - 1) ^ (1 << (len(keys) - 1 - i))
-    node = F.when(F.col("gid") == gid(0), entity_id(NODE_TYPES[0], F.col(keys[0])))
-    for i in range(1, len(keys)):
-        node = node.when(F.col("gid") == gid(i), entity_id(NODE_TYPES[i], F.col(keys[i])))
-    return rolled.withColumn("node_id", node).drop("gid", *keys)
+    share = lambda cond: settle(F.avg(cond.cast("double")))
+    measures = {
+        "n_lines": F.count(F.lit(1)),
+        "revenue": F.round(F.sum("l_extendedprice"), 2),
+        "supplier_balance": settle(F.avg("s_acctbal")),
+        "customer_balance": settle(F.avg("c_acctbal")),
+        "freight": F.round(F.sum(F.col("l_extendedprice") * F.col("l_tax")), 4),
+        "discount": F.round(F.sum(F.col("l_extendedprice") * F.col("l_discount")), 4),
+        "avg_quantity": settle(F.avg("l_quantity")),
+        "otif_rate": share(~late),
+        "lead_time_mean": settle(F.avg("lead_days")),
+        "lead_time_std": settle(F.coalesce(F.stddev_samp("lead_days"), F.lit(0.0))),
+        "return_rate": share(F.col("l_returnflag") == "R"),
+        "fill_rate": share(F.col("l_linestatus") == "F"),
+        "pending_rate": share(F.col("o_orderstatus") == "P"),
+        "open_rate": share(F.col("o_orderstatus") == "O"),
+        "first_day": F.min("ship_day"),
+        "first_late_day": F.min(F.when(late, F.col("ship_day"))),
+    }
+    singles = {(k,): node_type for node_type, k in ENTITY_KEYS.items()}
+    pairs = {(ENTITY_KEYS[a], ENTITY_KEYS[b]): (a, b) for a, b in FLOW_PAIRS}
+    rows, gid = grouping_pass(lines, [*singles, *pairs], [m.alias(n) for n, m in measures.items()])
+    value = F.col("revenue")
+
+    def part(node_type: str, key: str, own: bool, inflow: bool, outflow: bool) -> Column:
+        flag = lambda on, v: (v if on else F.lit(0.0))
+        return F.struct(entity_id(node_type, F.col(key)).alias("node_id"), F.lit(own).alias("own"),
+                        flag(inflow, value * value).alias("in2"), flag(inflow, value).alias("in1"),
+                        flag(outflow, value * value).alias("out2"), flag(outflow, value).alias("out1"))
+
+    parts = None
+    for keyset, types in {**singles, **pairs}.items():
+        if isinstance(types, str):
+            made = F.array(part(types, keyset[0], True, False, False))
+        else:
+            made = F.array(part(types[0], keyset[0], False, False, True), part(types[1], keyset[1], False, True, False))
+        hit = F.col("gid") == gid[keyset]
+        parts = F.when(hit, made) if parts is None else parts.when(hit, made)
+    spread = rows.select(F.explode(parts).alias("e"), *measures).select("e.*", *measures)
+    return spread.groupBy("node_id").agg(
+        *[F.max(F.when(F.col("own"), F.col(m))).alias(m) for m in measures],
+        settle(ratio(F.sum("in2"), F.sum("in1") * F.sum("in1"))).alias("supplier_concentration_hhi"),
+        settle(ratio(F.sum("out2"), F.sum("out1") * F.sum("out1"))).alias("customer_concentration_hhi"))
 
 
 def entity_nodes(t: Tables) -> DataFrame:
     """The nodes table without network position (see `operators.graph.with_network_position`)."""
-    m = node_keys(t).join(entity_measures(t), "node_id", "left").join(concentration(material_flow(t)), "node_id", "left")
+    m = node_keys(t).join(entity_profile(t), "node_id", "full")
+    m = m.withColumn("node_type", F.coalesce("node_type", F.lit("logistics_provider")))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     balance = F.when(F.col("node_type").isin("customer", "financial_institution"), zero("customer_balance")).otherwise(
         zero("supplier_balance"))
@@ -186,47 +225,61 @@ EDGE_SCHEMA = {"volume": "double", "value": "double", "mode": "string", "transit
                "cost": "double", "payment_terms_days": "double", "outstanding_balance": "double"}
 
 
-def _pair(df: DataFrame, src: tuple, dst: tuple, edge_type: str, *measures: Column) -> DataFrame:
-    (src_type, src_key), (dst_type, dst_key) = src, dst
-    grouped = df.groupBy(src_key, dst_key).agg(*measures)
-    return grouped.select(entity_id(src_type, F.col(src_key)).alias("src"), entity_id(dst_type, F.col(dst_key)).alias("dst"),
-                          F.lit(edge_type).alias("edge_type"), *[c for c in grouped.columns if c not in (src_key, dst_key)])
+def _flow_and_transport(t: Tables, flows: bool, transport: bool) -> DataFrame:
+    """Material-flow and transportation edges from one pass over the lines."""
+    legs: dict[tuple, tuple] = {}
+    if flows:
+        legs[("l_suppkey", "brand_no")] = ("supplier", "manufacturer", "material_flow")
+        legs[("brand_no", "o_custkey")] = ("manufacturer", "customer", "material_flow")
+    if transport:
+        legs[("l_suppkey", "s_nationkey")] = ("supplier", "port", "transportation")
+        legs[("brand_no", "c_nationkey")] = ("manufacturer", "port", "transportation")
+        legs[("c_nationkey", "o_custkey")] = ("port", "customer", "transportation")
+        legs[("l_linenumber", "brand_no")] = ("logistics_provider", "manufacturer", "transportation")
+    lines = trade_lines(t, part=True, orders=True, supplier=transport, customer=transport)
+    measures = {"volume": F.sum("l_quantity"), "value": F.round(F.sum("l_extendedprice"), 2)}
+    if transport:
+        measures |= {"transit_time_days": settle(F.avg("lead_days")),
+                     "cost": F.round(F.sum(F.col("l_extendedprice") * F.col("l_tax")), 4)}
+    rows, gid = grouping_pass(lines, list(legs), [m.alias(n) for n, m in measures.items()])
+    ends = None
+    for (a, b), (src_type, dst_type, kind) in legs.items():
+        made = F.struct(entity_id(src_type, F.col(a)).alias("src"), entity_id(dst_type, F.col(b)).alias("dst"),
+                        F.lit(kind).alias("edge_type"))
+        hit = F.col("gid") == gid[(a, b)]
+        ends = F.when(hit, made) if ends is None else ends.when(hit, made)
+    out = rows.select(ends.alias("e"), *measures).select("e.*", *measures)
+    if not transport:
+        return out
+    is_flow = F.col("edge_type") == "material_flow"
+    pick = stable_hash(F.col("src"), F.col("dst")) % len(MODES)
+    return out.withColumns({
+        "mode": F.when(~is_flow, lookup(pick, dict(enumerate(MODES)))),
+        **{c: F.when(is_flow, F.col(c)) for c in ("volume", "value")},
+        **{c: F.when(~is_flow, F.col(c)) for c in ("transit_time_days", "cost")},
+    })
 
 
 def material_flow(t: Tables) -> DataFrame:
-    qty, val = F.sum("l_quantity").alias("volume"), F.round(F.sum("l_extendedprice"), 2).alias("value")
-    upstream = _pair(trade_lines(t, part=True), ("supplier", "l_suppkey"), ("manufacturer", "brand_no"),
-                     "material_flow", qty, val)
-    downstream = _pair(trade_lines(t, part=True, orders=True), ("manufacturer", "brand_no"), ("customer", "o_custkey"),
-                       "material_flow", qty, val)
-    return upstream.unionByName(downstream)
+    return _flow_and_transport(t, flows=True, transport=False)
 
 
 def transportation(t: Tables) -> DataFrame:
-    legs = [
-        (trade_lines(t, orders=True, supplier=True), ("supplier", "l_suppkey"), ("port", "s_nationkey")),
-        (trade_lines(t, part=True, customer=True), ("manufacturer", "brand_no"), ("port", "c_nationkey")),
-        (trade_lines(t, customer=True), ("port", "c_nationkey"), ("customer", "o_custkey")),
-        (trade_lines(t, part=True, orders=True), ("logistics_provider", "l_linenumber"), ("manufacturer", "brand_no")),
-    ]
-    out = None
-    for lines, src, dst in legs:
-        leg = _pair(lines, src, dst, "transportation",
-                    settle(F.avg("lead_days")).alias("transit_time_days"),
-                    F.round(F.sum(F.col("l_extendedprice") * F.col("l_tax")), 4).alias("cost"))
-        out = leg if out is None else out.unionByName(leg)
-    pick = stable_hash(F.col("src"), F.col("dst")) % len(MODES)
-    return out.withColumn("mode", lookup(pick, dict(enumerate(MODES))))
+    return _flow_and_transport(t, flows=False, transport=True).drop("volume", "value")
 
 
 def financial(t: Tables) -> DataFrame:
     heads = t.orders.join(_customers(t, region=True), "o_custkey")
     tenor = lookup(F.col("o_orderpriority"), TENOR_DAYS, 90)
-    return _pair(heads, ("financial_institution", "n_regionkey"), ("customer", "o_custkey"), "financial",
-                 F.round(F.sum("o_totalprice"), 2).alias("value"),
-                 settle(F.avg(tenor)).alias("payment_terms_days"),
-                 F.round(F.sum(F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice")).otherwise(0.0)), 2)
-                 .alias("outstanding_balance"))
+    grouped = heads.groupBy("n_regionkey", "o_custkey").agg(
+        F.round(F.sum("o_totalprice"), 2).alias("value"),
+        settle(F.avg(tenor)).alias("payment_terms_days"),
+        F.round(F.sum(F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice")).otherwise(0.0)), 2)
+        .alias("outstanding_balance"))
+    return grouped.select(
+        entity_id("financial_institution", F.col("n_regionkey")).alias("src"),
+        entity_id("customer", F.col("o_custkey")).alias("dst"), F.lit("financial").alias("edge_type"),
+        "value", "payment_terms_days", "outstanding_balance")
 
 
 def ownership(flows: DataFrame) -> DataFrame:
@@ -238,9 +291,9 @@ def ownership(flows: DataFrame) -> DataFrame:
 
 def all_edges(t: Tables) -> DataFrame:
     """Union of the edge families into one wide table; measures a family lacks are NULL."""
-    flows = material_flow(t)
-    wide = (flows.unionByName(transportation(t), allowMissingColumns=True)
-            .unionByName(financial(t), allowMissingColumns=True)
+    lines = stage(_flow_and_transport(t, flows=True, transport=True))
+    flows = lines.filter(F.col("edge_type") == "material_flow")
+    wide = (lines.unionByName(financial(t), allowMissingColumns=True)
             .unionByName(ownership(flows), allowMissingColumns=True))
     return wide.select("src", "dst", "edge_type", *[F.col(c).cast(ty).alias(c) for c, ty in EDGE_SCHEMA.items()])
 
@@ -306,7 +359,7 @@ def shipments(t: Tables, series: DataFrame | None = None) -> DataFrame:
         ((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O") & (F.col("l_discount") < 0.05)).cast("int")
         .alias("doc_discrepancy"))
     base = base.withColumn("delayed", (F.col("delay_days") > 0).cast("int"))
-    series = port_series(t) if series is None else series
+    series = stage(port_series(t)) if series is None else series
     for role in ("origin", "destination"):
         look = series.select(F.col("port").alias(f"{role}_port"), F.col("date").alias("depart_date"),
                              F.col("port_congestion_index").alias(f"{role}_congestion_index"))
@@ -322,8 +375,9 @@ def shipments(t: Tables, series: DataFrame | None = None) -> DataFrame:
 # ------------------------------------------------------------------ letters of credit
 def lc_transactions(t: Tables, nodes: DataFrame | None = None, series: DataFrame | None = None) -> DataFrame:
     """One letter of credit per order: applicant = customer, beneficiary = supplier of its largest line."""
-    nodes = entity_nodes(t) if nodes is None else nodes
-    series = port_series(t) if series is None else series
+    # both tables are joined once per role: computed once, not twice
+    nodes = stage(entity_nodes(t)) if nodes is None else nodes
+    conditions = stage(port_conditions(port_series(t) if series is None else series))
     largest = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.max(F.struct("l_extendedprice", "l_suppkey", "l_partkey")).alias("top"))
     largest = largest.select("o_orderkey", F.col("top.l_suppkey").alias("s_suppkey"), F.col("top.l_partkey").alias("p_partkey"))
@@ -344,7 +398,6 @@ def lc_transactions(t: Tables, nodes: DataFrame | None = None, series: DataFrame
                 + disaster_exposure(F.col("s_nationkey"))).alias("trade_route_risk_score"),
         (F.col("o_orderstatus") == "P").cast("int").alias("is_default"))
     base = with_two_roles(base, nodes)
-    conditions = port_conditions(series)
     for role, port in (("origin", "orig_port"), ("destination", "dest_port")):
         cols = [F.col("port").alias(port), F.col("date").alias("issue_date"),
                 F.col("port_congestion_index").alias(f"port_congestion_{role}")]
