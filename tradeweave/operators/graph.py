@@ -263,17 +263,31 @@ def bank_exposure(edges: DataFrame) -> DataFrame:
         settle(F.avg("payment_terms_days")).alias("mean_terms"))
 
 
-def tier_two_exposure(edges: DataFrame) -> DataFrame:
-    """Share of a customer's sourcing that rests on each tier-two supplier: products of flow shares over two hops.
-
-    Equi-join on the middle tier; the output is the (customer, supplier) pairs that really share a path.
-    """
+def sourcing_shares(edges: DataFrame) -> DataFrame:
+    """Share of each buyer's inflow value per seller."""
     flows = edges.filter(F.col("edge_type") == "material_flow").select("src", "dst", "value")
     total = flows.groupBy("dst").agg(F.sum("value").alias("total"))
-    shares = stage(flows.join(total, "dst").select("src", "dst", (F.col("value") / F.col("total")).alias("share")))
-    last = shares.filter(F.col("dst").startswith("CUST_")).select(F.col("src").alias("mid"), F.col("dst").alias("customer"),
-                                                                 F.col("share").alias("s1"))
-    first = shares.filter(F.col("dst").startswith("MANU_")).select(F.col("src").alias("tier_two"), F.col("dst").alias("mid"),
-                                                                  F.col("share").alias("s2"))
-    return last.join(first, "mid").groupBy("customer", "tier_two").agg(
+    return flows.join(total, "dst").select("src", "dst", (F.col("value") / F.col("total")).alias("share"))
+
+
+def tier_two_exposure(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Exposure of given (customer, tier_two) pairs: share products summed over the two-hop paths between them.
+
+    Only asked-for pairs are expanded, over the customer's own sellers: a hub in the middle never pairs all its
+    suppliers with all its customers.
+    """
+    shares = stage(sourcing_shares(edges))
+    wanted = pairs.select("customer", "tier_two").distinct()
+    near = shares.select(F.col("dst").alias("customer"), F.col("src").alias("mid"), F.col("share").alias("s1"))
+    far = shares.select(F.col("dst").alias("mid"), F.col("src").alias("tier_two"), F.col("share").alias("s2"))
+    return wanted.join(near, "customer").join(far, ["tier_two", "mid"]).groupBy("customer", "tier_two").agg(
         settle(F.sum(F.col("s1") * F.col("s2"))).alias("exposure"))
+
+
+def tier_two_risk(edges: DataFrame, nodes: DataFrame, risk: str) -> DataFrame:
+    """Risk a customer carries through its sellers' sellers: two share-weighted aggregations, no pairs at all."""
+    shares = stage(sourcing_shares(edges))
+    tier_one = (shares.join(nodes.select(F.col("node_id").alias("src"), F.col(risk).alias("r")), "src")
+                .groupBy(F.col("dst").alias("src")).agg(F.sum(F.col("share") * F.col("r")).alias("r")))
+    return shares.join(tier_one, "src").groupBy(F.col("dst").alias("node_id")).agg(
+        settle(F.sum(F.col("share") * F.col("r"))).alias("tier_two_risk"))

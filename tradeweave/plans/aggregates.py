@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tradeweave.functions.scalar import ratio, settle
 from tradeweave.operators import fusion, graph, metrics, profile, scorecards
-from tradeweave.plans.oracle_base import sql
+from tradeweave.plans.oracle_base import cte, sql
 from tradeweave.plans.registry import Section
 
 section = Section()
@@ -204,11 +204,22 @@ def g14(m):
     return graph.bank_exposure(m.edges)
 
 
-@section.add("g15_tier_two_exposure", sql(["flows"], """
-SELECT c.dst AS customer, s.src AS tier_two, round(sum(c.share * s.share), 6) AS exposure FROM
- (SELECT f.src, f.dst, f.value / t.total AS share FROM flows f JOIN (SELECT dst, sum(value) AS total FROM flows GROUP BY dst) t
-  ON t.dst = f.dst WHERE f.dst LIKE 'CUST%') c
- JOIN (SELECT f.src, f.dst, f.value / t.total AS share FROM flows f JOIN (SELECT dst, sum(value) AS total FROM flows GROUP BY dst) t
-  ON t.dst = f.dst WHERE f.dst LIKE 'MANU%') s ON s.dst = c.src GROUP BY c.dst, s.src"""))
+cte("shares", ["flows"], """SELECT f.src, f.dst, f.value / t.total AS share FROM flows f
+JOIN (SELECT dst, sum(value) AS total FROM flows GROUP BY dst) t ON t.dst = f.dst""")
+
+
+@section.add("g15_tier_two_exposure", sql(["shares", "lc_a"], """
+SELECT p.customer, p.tier_two, round(sum(c.share * s.share), 6) AS exposure FROM
+ (SELECT DISTINCT applicant_id AS customer, beneficiary_id AS tier_two FROM lc_a) p
+ JOIN shares c ON c.dst = p.customer JOIN shares s ON s.dst = c.src AND s.src = p.tier_two GROUP BY p.customer, p.tier_two"""))
 def g15(m):
-    return graph.tier_two_exposure(m.edges)
+    pairs = m.lc.select(F.col("applicant_id").alias("customer"), F.col("beneficiary_id").alias("tier_two"))
+    return graph.tier_two_exposure(m.edges, pairs)
+
+
+@section.add("g15_tier_two_risk", sql(["shares", "nodes"], """
+SELECT c.dst AS node_id, round(sum(c.share * s.r), 6) AS tier_two_risk FROM shares c JOIN (
+ SELECT s.dst, sum(s.share * n.freight_cost_ratio) AS r FROM shares s JOIN nodes n ON n.node_id = s.src GROUP BY s.dst) s
+ ON s.dst = c.src GROUP BY c.dst"""))
+def g15b(m):
+    return graph.tier_two_risk(m.edges, m.nodes, "freight_cost_ratio")

@@ -54,3 +54,8 @@ class Mart(Tables):
     @property
     def lc(self) -> DataFrame:
         return self.staged("lc", lambda: contract.lc_transactions(self, self.nodes, self.series))
+
+    @property
+    def network_nodes(self) -> DataFrame:
+        from tradeweave.operators.graph import with_network_position
+        return self.staged("network_nodes", lambda: with_network_position(self.nodes, self.edges))
