@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradeweave.sources.mart import Mart
 
-SECTIONS = ["contract", "relational", "aggregates", "series", "scores", "evaluation"]
+SECTIONS = ["contract", "relational", "aggregates", "series", "scores", "evaluation", "network", "learning",
+            "streams"]
 
 
 class Section:
