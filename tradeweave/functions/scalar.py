@@ -32,11 +32,15 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+def padded(key: Column, width: int) -> Column:
+    """Zero-padded number; longer numbers keep all their digits (lpad alone would cut them)."""
+    text = key.cast("string")
+    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
+
+
 def entity_id(node_type: str, key: Column) -> Column:
-    """Four-letter upper-case prefix and a zero-padded key; long keys are never cut."""
-    prefix = F.upper(F.substring(F.lit(node_type), 1, 4))
-    text = F.concat(prefix, F.lit("_"), F.format_string("%08d", key.cast("bigint")))
-    return F.when(key.isNotNull(), text)
+    """Four-letter upper-case type prefix and the zero-padded key; NULL for a NULL key."""
+    return F.concat(F.lit(node_type[:4].upper() + "_"), padded(key, 8))
 
 
 def brand_number(brand: Column) -> Column:

@@ -31,7 +31,7 @@ def describe_sql(source: str, columns: list[str], by: str = "") -> str:
 SELECT (SELECT count(*) FROM nodes) AS n_nodes, (SELECT count(*) FROM edges) AS n_edges,
  (SELECT count(*) FROM edges WHERE edge_type = 'transportation') AS n_transport_links"""))
 def a1(m):
-    nodes = m.nodes.agg(F.count(F.lit(1)).alias("n_nodes")).scalar()
+    nodes = m.node_types.agg(F.count(F.lit(1)).alias("n_nodes")).scalar()
     return m.edges.agg(F.count(F.lit(1)).alias("n_edges"),
                        F.count_if(F.col("edge_type") == "transportation").alias("n_transport_links")).select(
         nodes.alias("n_nodes"), "n_edges", "n_transport_links")
@@ -48,7 +48,7 @@ def a2(m):
 
 @section.add("a3_frequency_table", sql(["node_keys"], "SELECT node_type, count(*) AS n FROM node_keys GROUP BY node_type"))
 def a3(m):
-    return profile.value_counts(m.nodes, "node_type")
+    return profile.value_counts(m.node_types, "node_type")
 
 
 @section.add("a4_describe_by_port", sql(["series"], describe_sql(
@@ -72,7 +72,7 @@ def a6(m):
 
 @section.add("a7_t5_sorted_distinct", sql(["node_keys"], "SELECT DISTINCT node_type FROM node_keys"))
 def a7(m):
-    return m.nodes.select("node_type").distinct().orderBy("node_type")
+    return m.node_types.select("node_type").distinct().orderBy("node_type")
 
 
 @section.add("a8_null_counts", sql(["nodes", "edges"], """

@@ -29,19 +29,19 @@ LEFT JOIN (SELECT src, count(*) AS n FROM digraph GROUP BY src) o ON o.src = nod
 
 @section.add("g1_degrees", sql(["deg"], "SELECT node_id, in_degree, out_degree FROM deg"))
 def g1(m):
-    return graph.degrees(m.nodes, m.edges).select("node_id", "in_degree", "out_degree")
+    return graph.degrees(m.node_types, m.edges).select("node_id", "in_degree", "out_degree")
 
 
 @section.add("g2_degree_distribution", sql(["deg"], describe_sql("(SELECT in_degree + out_degree AS degree FROM deg)", ["degree"])))
 def g2(m):
-    return profile.describe(graph.degrees(m.nodes, m.edges), ["degree"])
+    return profile.describe(graph.degrees(m.node_types, m.edges), ["degree"])
 
 
 @section.add("g3_density", sql(["digraph", "node_keys"], """
 SELECT n AS n_nodes, e AS n_edges, round(CAST(e AS DOUBLE) / (n * (n - 1)), 6) AS density FROM
 (SELECT count(*) AS n FROM node_keys), (SELECT count(*) AS e FROM digraph)"""))
 def g3(m):
-    return graph.density(m.nodes, m.edges).withColumn("density", settle(F.col("density")))
+    return graph.density(m.node_types, m.edges).withColumn("density", settle(F.col("density")))
 
 
 cte("links", ["digraph"], """
@@ -56,7 +56,7 @@ LEFT JOIN (SELECT dst, sum(rank * w) AS s FROM pr_{_i - 1} JOIN links ON src = n
 @section.add("g4_pagerank", sql([f"pr_{PR_ROUNDS}"], f"""
 SELECT node_id, round(rank / (SELECT sum(rank) FROM pr_{PR_ROUNDS}), 9) AS pagerank FROM pr_{PR_ROUNDS}"""))
 def g4(m):
-    return graph.pagerank(m.nodes, m.edges, rounds=PR_ROUNDS).withColumn("pagerank", F.round("pagerank", 9))
+    return graph.pagerank(m.node_types, m.edges, rounds=PR_ROUNDS).withColumn("pagerank", F.round("pagerank", 9))
 
 
 cte("triangles", ["sym"], """
@@ -70,7 +70,7 @@ LEFT JOIN (SELECT x, count(*) AS d FROM sym GROUP BY x) d ON d.x = k.node_id LEF
 
 @section.add("g5_clustering", sql(["clust"], "SELECT node_id, n_triangles, round(cc, 6) AS clustering_coefficient FROM clust"))
 def g5(m):
-    return graph.clustering(m.nodes, m.edges).withColumn("clustering_coefficient", settle(F.col("clustering_coefficient")))
+    return graph.clustering(m.node_types, m.edges).withColumn("clustering_coefficient", settle(F.col("clustering_coefficient")))
 
 
 # breadth-first levels and back-flow, unrolled deep enough for this graph
@@ -98,7 +98,7 @@ SELECT k.node_id, coalesce(s.s, 0) * (k.n / 80.0) / ((k.n - 1) * (k.n - 2)) AS b
 
 @section.add("g6_betweenness", sql(["between"], "SELECT node_id, round(b, 9) AS betweenness_centrality FROM between"))
 def g6(m):
-    return graph.betweenness(m.nodes, m.edges).withColumn("betweenness_centrality", F.round("betweenness_centrality", 9))
+    return graph.betweenness(m.node_types, m.edges).withColumn("betweenness_centrality", F.round("betweenness_centrality", 9))
 
 
 cte("position", ["nodes", "deg", "between", "clust", f"pr_{PR_ROUNDS}"], f"""
@@ -131,7 +131,7 @@ SELECT relation, count(*) AS n_edges, count(DISTINCT dst) AS n_dst, round(sum(st
  SELECT dst, src_type || ':' || edge_type || ':' || dst_type AS relation, strength FROM typed
  UNION ALL SELECT src, dst_type || ':rev_' || edge_type || ':' || src_type, strength FROM typed) GROUP BY 1"""))
 def g7(m):
-    return graph.relation_edges(m.nodes, m.edges).groupBy("relation").agg(
+    return graph.relation_edges(m.node_types, m.edges).groupBy("relation").agg(
         F.count(F.lit(1)).alias("n_edges"), F.countDistinct("dst").alias("n_dst"), F.round(F.sum("strength"), 4).alias("strength"))
 
 
@@ -144,7 +144,7 @@ UNION ALL SELECT dst, src, dst_type || ':rev_' || edge_type || ':' || src_type,
 SELECT relation, count(*) AS n, round(sum(weight), 6) AS mass, round(max(weight), 6) AS peak FROM (
  SELECT relation, exp(strength) / sum(exp(strength)) OVER (PARTITION BY dst, relation) AS weight FROM rel) GROUP BY relation"""))
 def g9(m):
-    weights = graph.attention(graph.relation_edges(m.nodes, m.edges))
+    weights = graph.attention(graph.relation_edges(m.node_types, m.edges))
     return weights.groupBy("relation").agg(F.count(F.lit(1)).alias("n"), settle(F.sum("weight")).alias("mass"),
                                            settle(F.max("weight")).alias("peak"))
 
@@ -172,7 +172,7 @@ hop_ctes("hop", "rel")
 
 def propagated(m, edges=None):
     signals = profile.zscore(m.nodes, SIGNALS)
-    return graph.propagate(signals, graph.relation_edges(m.nodes, m.edges if edges is None else edges), SIGNALS)
+    return graph.propagate(signals, graph.relation_edges(m.node_types, m.edges if edges is None else edges), SIGNALS)
 
 
 @section.add("g8_neighbour_propagation", sql(["hop_3"], "SELECT node_id, " + ", ".join(
@@ -199,7 +199,7 @@ def test_links(m):
     """Held-out edges (label 1) and sampled non-edges (label 0), and the training edges."""
     parts = holdout(m)
     positives = parts.filter(F.col("split") == "test")
-    negatives = graph.negative_links(positives.select("src", "dst", "dst_type"), m.nodes, m.edges)
+    negatives = graph.negative_links(positives.select("src", "dst", "dst_type"), m.node_types, m.edges)
     pairs = positives.select("src", "dst").withColumn("label", F.lit(1)).unionByName(negatives.withColumn("label", F.lit(0)))
     return pairs, parts.filter(F.col("split") == "train")
 

@@ -217,7 +217,7 @@ SELECT 'LC_' || printf('%09d', o_orderkey) AS lc_id, {eid('CUST', 'o_custkey')}
 def f3(m):
     tenor = S.lookup(F.col("o_orderpriority"), C.TENOR_DAYS, 90)
     return m.orders.select(
-        F.format_string("LC_%09d", "o_orderkey").alias("lc_id"), S.entity_id("customer", F.col("o_custkey")).alias("applicant_id"),
+        F.concat(F.lit("LC_"), S.padded(F.col("o_orderkey"), 9)).alias("lc_id"), S.entity_id("customer", F.col("o_custkey")).alias("applicant_id"),
         F.round("o_totalprice", 1).alias("amount_1dp"), F.date_add(F.to_date("o_orderdate"), tenor).alias("due_day"))
 
 
@@ -229,7 +229,7 @@ SELECT starts_with(edge_type, 'rev_') AS is_reverse, edge_type, src_type, dst_ty
  JOIN nodes_t a ON a.node_id = e.src JOIN nodes_t b ON b.node_id = e.dst) GROUP BY ALL""").replace(
     "nodes_t", "node_keys"))
 def f5(m):
-    both = J.with_reverse(J.typed_edges(m.edges.select("src", "dst", "edge_type"), m.nodes))
+    both = J.with_reverse(J.typed_edges(m.edges.select("src", "dst", "edge_type"), m.node_types))
     return both.groupBy(F.col("edge_type").startswith("rev_").alias("is_reverse"), "edge_type", "src_type", "dst_type").agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -266,7 +266,8 @@ def f10(m):
         "o_orderkey", S.settle(V.scaled_dot(F.col("ea"), F.col("eb"))).alias("score"))
 
 
-@section.add("f16_metrics_to_json_text")
+@section.add("f16_metrics_to_json_text", """
+SELECT o_orderstatus, '{"n":' || count(*) || ',"price":{"mean":' || round(avg(o_totalprice), 2) || '}}' AS metrics FROM orders GROUP BY 1""")
 def f16(m):
     stats = m.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("o_totalprice"), 2).alias("mean"))
     return stats.select("o_orderstatus", F.to_json(F.struct("n", F.struct("mean").alias("price"))).alias("metrics"))
@@ -292,7 +293,7 @@ def j2(m):
 SELECT coalesce(a.node_type, 'logistics_provider') AS src_type, edge_type, b.node_type AS dst_type, count(*) AS n_edges,
  count(DISTINCT src) AS n_src FROM edges JOIN node_keys a ON a.node_id = src JOIN node_keys b ON b.node_id = dst GROUP BY ALL"""))
 def j3(m):
-    return J.typed_edges(m.edges.select("src", "dst", "edge_type"), m.nodes).groupBy("src_type", "edge_type", "dst_type").agg(
+    return J.typed_edges(m.edges.select("src", "dst", "edge_type"), m.node_types).groupBy("src_type", "edge_type", "dst_type").agg(
         F.count(F.lit(1)).alias("n_edges"), F.countDistinct("src").alias("n_src"))
 
 
@@ -352,7 +353,7 @@ def j8(m):
     need_nodes, need_edges = need(C.NODE_TYPES, "node_type"), need(C.EDGE_TYPES, "edge_type")
     count = lambda wanted, have, kind: J.missing_keys(wanted, have.select(kind), kind).agg(
         F.count(F.lit(1)).alias("n_missing")).select(F.lit(kind).alias("kind"), "n_missing")
-    return count(need_nodes, m.nodes, "node_type").unionByName(count(need_edges, m.edges, "edge_type"))
+    return count(need_nodes, m.node_types, "node_type").unionByName(count(need_edges, m.edges, "edge_type"))
 
 
 @section.add("j11_document_vs_observation", """
@@ -386,5 +387,5 @@ def u1(m):
 SELECT node_id FROM node_keys WHERE node_type = 'supplier' UNION ALL
 SELECT node_id FROM node_keys WHERE node_type = 'manufacturer'"""))
 def u4(m):
-    ids = lambda t: m.nodes.filter(F.col("node_type") == t).select("node_id")
+    ids = lambda t: m.node_types.filter(F.col("node_type") == t).select("node_id")
     return ids("supplier").union(ids("manufacturer"))

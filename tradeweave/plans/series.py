@@ -127,7 +127,7 @@ def w7(m):
 SELECT node_id, CASE WHEN row_number() OVER (PARTITION BY node_type ORDER BY {hash32('node_id', salt='split')}, node_id)
  <= floor(0.8 * count(*) OVER (PARTITION BY node_type)) THEN 'train' ELSE 'test' END AS split FROM node_keys"""))
 def w7b(m):
-    return splits.exact_split(m.nodes.select("node_id", "node_type"), ["node_id"], 0.8, ["node_type"]).select("node_id", "split")
+    return splits.exact_split(m.node_types, ["node_id"], 0.8, ["node_type"]).select("node_id", "split")
 
 
 @section.add("w8_edge_holdout_by_relation", sql(["edges", "node_keys"], f"""
@@ -143,7 +143,7 @@ def w8(m):
 
 def holdout(m):
     """Forward edges, 85 % train per relation."""
-    rel = typed_edges(m.edges.select("src", "dst", "edge_type"), m.nodes).select(
+    rel = typed_edges(m.edges.select("src", "dst", "edge_type"), m.node_types).select(
         "src", "dst", "dst_type", F.concat_ws(":", "src_type", "edge_type", "dst_type").alias("relation"))
     return splits.exact_split(rel, ["src", "dst"], 0.85, ["relation"])
 
@@ -158,13 +158,13 @@ def w9(m):
 @section.add("w10_plain_split", sql(["node_keys"], f"""
 SELECT node_id, CASE WHEN {hash32('node_id', salt='plain')} % 100 < 80 THEN 'train' ELSE 'test' END AS split FROM node_keys"""))
 def w10(m):
-    return splits.hash_split(m.nodes.select("node_id"), ["node_id"], salt="plain")
+    return splits.hash_split(m.node_types.select("node_id"), ["node_id"], salt="plain")
 
 
 @section.add("w11_fold_assignment", sql(["node_keys"], f"""
 SELECT node_id, CAST({hash32('node_id', salt='fold')} % 5 AS INTEGER) AS fold FROM node_keys"""))
 def w11(m):
-    return m.nodes.select("node_id", splits.fold_of([F.col("node_id")]).alias("fold"))
+    return m.node_types.select("node_id", splits.fold_of([F.col("node_id")]).alias("fold"))
 
 
 # ------------------------------------------------------------------ forecast baseline

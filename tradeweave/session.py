@@ -18,7 +18,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
-        builder = builder.master(master).config("spark.driver.memory", "12g")
+        # small local data: keep one partition per core instead of merging to megabyte-sized ones
+        builder = (builder.master(master).config("spark.driver.memory", "12g")
+                   .config("spark.sql.adaptive.coalescePartitions.enabled", "false"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()

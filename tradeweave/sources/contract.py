@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeweave.functions.scalar import (
-    brand_number, clip, days_from_turnover, entity_id, logistic, lookup, ratio, settle, stable_hash)
+    brand_number, clip, days_from_turnover, entity_id, logistic, lookup, padded, ratio, settle, stable_hash)
 from tradeweave.operators import scorecards
 from tradeweave.session import stage
 from tradeweave.sources.tables import Tables
@@ -115,6 +115,13 @@ def node_keys(t: Tables) -> DataFrame:
     return keys.join(names, "nation_key", "left")
 
 
+def node_types(t: Tables) -> DataFrame:
+    """node_id and node_type of every entity without a pass over the line measures (one column of the lines)."""
+    carriers = t.lineitem.select("l_linenumber").distinct().select(
+        entity_id("logistics_provider", F.col("l_linenumber")).alias("node_id"), F.lit("logistics_provider").alias("node_type"))
+    return node_keys(t).select("node_id", "node_type").unionByName(carriers)
+
+
 def entity_profile(t: Tables) -> DataFrame:
     """Operating measures and flow concentration of every entity from a single pass over the lines.
 
@@ -345,7 +352,7 @@ def shipments(t: Tables, series: DataFrame | None = None) -> DataFrame:
     lines = trade_lines(t, supplier=True, customer=True)
     planned = F.lit(12.0) + F.col("l_quantity") % 26.0
     base = lines.select(
-        F.concat(F.lit("SHP_"), F.concat_ws("-", F.format_string("%09d", "l_orderkey"), "l_linenumber", "l_partkey",
+        F.concat(F.lit("SHP_"), F.concat_ws("-", padded(F.col("l_orderkey"), 9), "l_linenumber", "l_partkey",
                                             "l_suppkey")).alias("shipment_id"),
         entity_id("port", F.col("s_nationkey")).alias("origin_port"),
         entity_id("port", F.col("c_nationkey")).alias("destination_port"),
@@ -386,7 +393,7 @@ def lc_transactions(t: Tables, nodes: DataFrame | None = None, series: DataFrame
              .join(t.supplier.select("s_suppkey", "s_nationkey"), "s_suppkey", "left")
              .join(t.part.select("p_partkey", "p_type"), "p_partkey", "left"))
     base = heads.select(
-        F.format_string("LC_%09d", "o_orderkey").alias("lc_id"), F.to_date("o_orderdate").alias("issue_date"),
+        F.concat(F.lit("LC_"), padded(F.col("o_orderkey"), 9)).alias("lc_id"), F.to_date("o_orderdate").alias("issue_date"),
         entity_id("customer", F.col("o_custkey")).alias("applicant_id"),
         entity_id("supplier", F.col("s_suppkey")).alias("beneficiary_id"),
         entity_id("port", F.col("c_nationkey")).alias("dest_port"),

@@ -35,6 +35,10 @@ class Mart(Tables):
     def nodes(self) -> DataFrame:
         return self.staged("nodes", lambda: contract.entity_nodes(self))
 
+    @property
+    def node_types(self) -> DataFrame:
+        return self.staged("node_types", lambda: contract.node_types(self))
+
     @property
     def edges(self) -> DataFrame:
         return self.staged("edges", lambda: contract.all_edges(self))
