@@ -34,18 +34,25 @@ def test_out_of_fold_scores_cover_every_row_once(separable):
     assert out.count() == 500 == out.select("id").distinct().count()
 
 
-def test_cox_finds_the_sign_and_beats_chance(spark):
-    h = lambda s: (F.abs(F.xxhash64("id", F.lit(s))) % 1000) / 1000.0 - 0.5
-    df = spark.range(800).select("id", h(1).alias("a"), h(2).alias("b"))
-    days = F.greatest(F.lit(1.0), 300 - 400 * F.col("a") + 40 * F.col("b"))
-    df = df.select("id", "a", "b", F.least(days, F.lit(450.0)).cast("int").alias("t"), (days < 450).cast("int").alias("e"))
-    beta = learning.fit_cox(df, ["a", "b"], "t", "e", ridge=0.001)
-    assert beta["a"] > 1 and abs(beta["b"]) < beta["a"]
+def test_cox_maximises_the_penalised_likelihood(spark):
+    """Exponential lifetimes with hazard exp(2a): coefficient near 2 on `a`, near 0 on `b`, and a flat top."""
+    h = lambda s: (F.abs(F.xxhash64("id", F.lit(s))) % 1000) / 1000.0
+    life = -F.log(h(3) + 0.0005) * 300 * F.exp(-2.0 * F.col("a"))
+    df = spark.range(3000).select("id", (h(1) - 0.5).alias("a"), (h(2) - 0.5).alias("b"))
+    df = df.withColumn("life", life).select(
+        "id", "a", "b", F.greatest(F.lit(1), F.least(F.col("life"), F.lit(450.0)).cast("int")).alias("t"), (F.col("life") < 450).cast("int").alias("e"))
+    ridge, n = 0.001, 3000
+    beta = learning.fit_cox(df, ["a", "b"], "t", "e", ridge=ridge)
+    assert abs(beta["a"] - 2) < 0.3 and abs(beta["b"]) < 0.3
     scored = df.withColumn("risk", F.round(learning.partial_hazard(beta), 9))
-    assert metrics.concordance_index(scored, "t", "e", "risk").first().c_index > 0.9
-    # at the maximum the penalised score is flat: moving along `a` lowers the likelihood
-    loss = lambda da: metrics.cox_loss(df.withColumn("lr", (beta["a"] + da) * F.col("a") + beta["b"] * F.col("b")), "t", "e", "lr").first().loss
-    assert loss(0.0) < loss(1.0) and loss(0.0) < loss(-1.0)
+    assert metrics.concordance_index(scored, "t", "e", "risk").first().c_index > 0.6
+
+    def objective(da):
+        a, b = beta["a"] + da, beta["b"]
+        row = metrics.cox_loss(df.withColumn("lr", a * F.col("a") + b * F.col("b")), "t", "e", "lr").first()
+        return row.loss * row.n_events / n + ridge / 2 * (a * a + b * b)
+
+    assert objective(0.0) < objective(0.2) and objective(0.0) < objective(-0.2)
 
 
 def test_ccc_models_learn_the_response(mart):

@@ -98,7 +98,7 @@ def predict_ccc(models: dict[str, PipelineModel], requests: DataFrame) -> DataFr
 
 
 # ------------------------------------------------------------------ survival
-def fit_cox(df: DataFrame, covariates: Sequence[str], duration: str, event: str, ridge: float = 0.05, rounds: int = 8,
+def fit_cox(df: DataFrame, covariates: Sequence[str], duration: str, event: str, ridge: float = 0.05, rounds: int = 15,
             tolerance: float = 1e-7) -> dict[str, float]:
     """Ridge-penalised Cox model (Breslow ties) by Newton steps.
 

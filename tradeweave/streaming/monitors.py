@@ -38,10 +38,14 @@ def sliding_week(events: DataFrame) -> DataFrame:
 
 
 def milestone_sessions(events: DataFrame, gap: str = "6 hours") -> DataFrame:
-    """Bursts of milestones per shipment owner, closed by a quiet gap."""
+    """Bursts of milestones per shipment owner, closed by a quiet gap.
+
+    The bounds come out as aggregates, not as the session key: a later filter on a key column would be pushed
+    below the merge of sessions and cut them short.
+    """
     return events.groupBy(F.session_window("ts", gap).alias("w"), "user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")).select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "user_id", "n", "total")
+        F.min("ts").alias("window_start"), (F.max("ts") + F.expr(f"INTERVAL {gap}")).alias("window_end"),
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")).drop("w")
 
 
 def first_milestones(events: DataFrame) -> DataFrame:
