@@ -99,14 +99,17 @@ def predict_ccc(models: dict[str, PipelineModel], requests: DataFrame) -> DataFr
 
 # ------------------------------------------------------------------ survival
 def fit_cox(df: DataFrame, covariates: Sequence[str], duration: str, event: str, ridge: float = 0.05, rounds: int = 15,
-            tolerance: float = 1e-7) -> dict[str, float]:
+            tolerance: float = 1e-7, horizon: int = 730) -> dict[str, float]:
     """Ridge-penalised Cox model (Breslow ties) by Newton steps.
 
-    Spark sums exp(eta), x exp(eta) and x x' exp(eta) per duration; only those sums reach the driver. Durations are
-    whole days within the survival horizon, so that is at most 731 rows however many entities there are.
+    Spark sums exp(eta), x exp(eta) and x x' exp(eta) per duration; only those sums reach the driver. Follow-up ends
+    at the horizon (later rows are censored there) and durations are whole days, so that is at most horizon + 1 rows
+    however many entities there are.
     """
     k = len(covariates)
-    rows = stage(df.select(F.col(duration).cast("int").alias("t"), F.col(event).cast("double").alias("e"),
+    days = F.col(duration).cast("int")
+    rows = stage(df.select(F.least(days, F.lit(horizon)).alias("t"),
+                           F.when(days <= horizon, F.col(event).cast("double")).otherwise(0.0).alias("e"),
                            *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(covariates)]))
     n = rows.count()
     beta = np.zeros(k)

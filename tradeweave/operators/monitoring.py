@@ -28,8 +28,11 @@ def _shares(n_bins: int, floor: float = 1e-4) -> Column:
 def population_stability(df: DataFrame, columns: Sequence[str], month: str, is_baseline: Column) -> DataFrame:
     """PSI per (month, feature) against baseline deciles. Counts are ten conditional sums, so empty bins stay."""
     long = unpivot(df.withColumn("_base", is_baseline), columns, [month, "_base"])
-    edges = quantile_row(long.filter("_base"), "x", DECILES, ["metric"])
-    binned = long.join(edges, "metric").withColumn("bin", bounds_position(F.col("edges"), F.col("x"), 9))
+    # nine numbers per feature: they travel inside the plan as a map, so the rows are not shuffled to a few feature keys
+    edges = quantile_row(long.filter("_base"), "x", DECILES, ["metric"]).agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", "edges"))).alias("m")).scalar()
+    binned = long.withColumn("_m", edges).withColumn("edges", F.element_at("_m", F.col("metric"))).withColumn(
+        "bin", bounds_position(F.col("edges"), F.col("x"), 9))
     expected = binned.filter("_base").groupBy("metric").agg(*_bin_counts(10)).select("metric", _shares(10).alias("e"))
     actual = binned.groupBy(month, "metric").agg(*_bin_counts(10)).select(month, "metric", _shares(10).alias("a"))
     terms = F.zip_with("a", "e", lambda a, e: (a - e) * F.log(a / e))

@@ -35,11 +35,19 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
     if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tradeweave-"))
         current = spark.sparkContext.getCheckpointDir()
     return current
 
 
+def forget_at_exit(spark: SparkSession, path: str) -> None:
+    """Staged copies are of no use after the application; the file system drops them when the driver ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write once to the shared folder and read back.
 
@@ -49,4 +57,5 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    forget_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)

@@ -326,12 +326,16 @@ def date_spine(bounds: DataFrame) -> Column:
 def port_series(t: Tables) -> DataFrame:
     """Gap-free daily series per port: throughput, congestion, freight rate.
 
-    Lines collapse to (port, day) first, so every later window holds one row per calendar day.
+    Lines collapse to (supplier, day) before the supplier join and to (port, day) after it: a supplier that holds a
+    third of the lines crosses the network as one row per map task and day, and every later window holds one row
+    per calendar day.
     """
-    lines = trade_lines(t, supplier=True)
-    daily = lines.groupBy(F.col("s_nationkey").alias("port_key"), F.col("ship_day").alias("date")).agg(
+    by_supplier = t.lineitem.groupBy("l_suppkey", F.to_date("l_shipdate").alias("date")).agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("qty"),
-        F.round(F.sum(F.col("l_extendedprice") * F.col("l_tax")), 4).alias("freight"))
+        F.sum(F.col("l_extendedprice") * F.col("l_tax")).alias("freight"))
+    ports_of = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("port_key"))
+    daily = by_supplier.join(ports_of, "l_suppkey").groupBy("port_key", "date").agg(
+        F.sum("n_lines").alias("n_lines"), F.sum("qty").alias("qty"), F.round(F.sum("freight"), 4).alias("freight"))
     span = t.lineitem.agg(F.to_date(F.min("l_shipdate")).alias("first_day"), F.to_date(F.max("l_shipdate")).alias("last_day"))
     ports = t.supplier.select(F.col("s_nationkey").alias("port_key")).distinct()
     spine = ports.select("port_key", F.explode(date_spine(span)).alias("date"))

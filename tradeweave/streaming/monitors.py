@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,8 +58,9 @@ def first_milestones(events: DataFrame) -> DataFrame:
 
 def run_to_table(stream: DataFrame, operator: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
     """Drain the available input through the operator into parquet (append: closed windows only)."""
-    import uuid
     spark = stream.sparkSession
+    # merge sessions before the shuffle, so a hot key arrives as few rows
+    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     base = f"{shared_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex}"
     out = operator(stream)
     query = (out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/state")
