@@ -56,3 +56,10 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
                        F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op1_entropy_mix")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    from tradeweave.llm.mixing import mix
+    return mix(table(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "rate", "copies")
