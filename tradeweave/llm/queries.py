@@ -63,3 +63,32 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     from tradeweave.llm.mixing import mix
     return mix(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "rate", "copies")
+
+
+@query("op10_pivot_top_k", oracle="""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+           FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5""")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    from tradeweave.llm.topk import top_k
+    return top_k(table(spark, folder, "embeddings"))
+
+
+PIECES = "piece_bpe_32k.model"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    from tradeweave.llm.language import identify
+    left_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    told = identify(table(spark, folder, "documents"), tokenizer_path(PIECES), learn_from=~left_out)
+    return told.select("doc_id", F.coalesce(left_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
