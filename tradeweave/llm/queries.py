@@ -92,3 +92,19 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     left_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     told = identify(table(spark, folder, "documents"), tokenizer_path(PIECES), learn_from=~left_out)
     return told.select("doc_id", F.coalesce(left_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_quality_nbsvm")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    from tradeweave.llm.quality_model import classify
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    scored = classify(table(spark, folder, "documents"), table(spark, folder, "labels"), learn_from=~held_out)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op3_lm_cross_entropy")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    from tradeweave.llm.lm_scoring import score_documents
+    return score_documents(table(spark, folder, "documents"), table(spark, folder, "labels")).select(
+        "doc_id", "n_tokens", "target_loss", "background_loss", "score")
