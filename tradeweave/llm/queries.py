@@ -108,3 +108,14 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     from tradeweave.llm.lm_scoring import score_documents
     return score_documents(table(spark, folder, "documents"), table(spark, folder, "labels")).select(
         "doc_id", "n_tokens", "target_loss", "background_loss", "score")
+
+
+BYTE_BPE = "byte_bpe_50k.tiktoken"  # the vocabulary of byte_bpe_50k.json as ranks; a test holds the ids against it
+
+
+@query("op8_best_fit_packing")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    from tradeweave.llm.packing import pack
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pack(docs, tokenizer_path(BYTE_BPE)).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
