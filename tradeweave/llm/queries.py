@@ -119,3 +119,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pack(docs, tokenizer_path(BYTE_BPE)).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op2_jaccard_join")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    from tradeweave.llm.ngram_join import jaccard_components
+    return jaccard_components(table(spark, folder, "documents"))
