@@ -183,13 +183,15 @@ _FEATURES: list[Features] = []
 
 
 def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-             label_key: str = "doc_id", label: str = "quality", learn_from: Column | None = None) -> DataFrame:
+             label_key: str = "doc_id", label: str = "quality", learn_from: Column | None = None,
+             learn_docs: DataFrame | None = None) -> DataFrame:
     """`docs` with `score` (0 to 1, higher: label 1 likelier).
 
-    `learn_from`, a condition on `docs`, limits the rows to learn from. Only the text reaches the model.
+    Rows to learn from are those of `learn_docs` (`docs` if not given) that have a label and meet the condition
+    `learn_from`. Only the text reaches the model.
     """
-    known = docs if learn_from is None else docs.filter(F.coalesce(learn_from, F.lit(False)))
-    rows, known_at = apart(known)
+    known = docs if learn_docs is None else learn_docs
+    rows, known_at = apart(known if learn_from is None else known.filter(F.coalesce(learn_from, F.lit(False))))
     told = with_labels(rows, labels, known_at[doc_id], label_key, label)
     model = learn(told, known_at[doc_id], known_at[text], "_label")
     inner, at = apart(docs)
