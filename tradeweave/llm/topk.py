@@ -51,13 +51,14 @@ def choose_pivots(sample: list[np.ndarray], n: int) -> dict[int, np.ndarray]:
     """Per vector length the origin and up to n - 1 vectors, each the farthest from those before."""
     pivots = {}
     for dim in sorted({len(v) for v in sample}):
-        have = np.array([v for v in sample if len(v) == dim], np.float64).reshape(-1, dim)
+        own = [v for v in sample if len(v) == dim]
+        have = np.array(own, np.float64).reshape(len(own), dim)
         chosen = [np.zeros(dim)]
         nearest = (have ** 2).sum(1)
         while len(chosen) < n and len(have) and nearest.max() > 0:
             chosen.append(have[int(nearest.argmax())])
             nearest = np.minimum(nearest, ((have - chosen[-1]) ** 2).sum(1))
-        pivots[dim] = np.array(chosen).reshape(-1, dim)
+        pivots[dim] = np.array(chosen).reshape(len(chosen), dim)
     return pivots
 
 
