@@ -8,7 +8,6 @@ from tradeweave.operators import learning, metrics
 from tradeweave.plans.registry import registered
 from tradeweave.session import shared_dir
 from tradeweave.sources.tables import read_results_json, write_results_json
-from tradeweave.streaming import monitors
 
 from conftest import DATA
 
@@ -62,21 +61,6 @@ def test_ccc_models_learn_the_response(mart):
     assert mae < 15
 
 
-@pytest.mark.parametrize("operator", [monitors.daily_totals, monitors.sliding_week, monitors.milestone_sessions])
-def test_stream_equals_closed_batch_windows(spark, mart, operator):
-    batch = operator(monitors.event_time(mart.events))
-    limit = mart.events.agg(F.max("ts").cast("timestamp") - F.expr("INTERVAL 2 HOURS")).first()[0]
-    closed = batch.filter(F.col("window_end") <= F.lit(limit))
-    got = monitors.run_to_table(monitors.event_stream(spark, DATA), operator, "test")
-    assert got.count() == closed.count() > 0
-    assert got.exceptAll(closed).isEmpty()
-
-
-def test_stream_deduplication_has_one_row_per_key(spark, mart):
-    got = monitors.run_to_table(monitors.event_stream(spark, DATA), monitors.first_milestones, "dedup")
-    assert got.count() == mart.events.select("user_id", "event_type").distinct().count()
-
-
 def test_results_json_round_trip(spark):
     df = spark.createDataFrame([("a", "m", 1.5)], "section string, metric string, value double")
     path = f"{shared_dir(spark)}/json-test"

@@ -17,7 +17,8 @@ from tradeweave.session import stage
 
 
 def default_buckets(spark: SparkSession) -> int:
-    return max(4, min(1024, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    """As many as shuffle partitions, which are set to the data's size."""
+    return max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def running_totals(df: DataFrame, order_col: str, measures: Sequence[str], by: Sequence[str] = (),
@@ -45,12 +46,13 @@ def running_totals(df: DataFrame, order_col: str, measures: Sequence[str], by: S
         *[(F.col(f"_o_{m}") + F.coalesce(F.sum(m).over(inside), F.lit(0))).alias(f"{m}_before") for m in measures])
 
 
-def hash_rank(df: DataFrame, hash_col: str, ties: Sequence[str], by: Sequence[str] = (), bits: int = 6) -> DataFrame:
-    """Exact row number `rn` and group size `n_rows` in hash order; buckets are the leading hash bits.
+def hash_rank(df: DataFrame, hash_col: str, ties: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Exact row number `rn` and group size `n_rows` in hash order; buckets are leading bits of the 32-bit hash.
 
-    A group that holds most rows is spread over 2^bits tasks, unlike `row_number() over (partition by group)`.
+    Their number follows the number of rows: a group that holds most of them is spread over buckets of some thousand.
     """
     df = stage(df)
+    bits = bucket_bits(df.count())
     tagged = df.withColumn("_bucket", F.shiftright(F.col(hash_col), 32 - bits))
     keys = [*by, "_bucket"]
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -62,6 +64,10 @@ def hash_rank(df: DataFrame, hash_col: str, ties: Sequence[str], by: Sequence[st
         *df.columns, "n_rows", (F.col("_o") + F.row_number().over(inside)).alias("rn"))
 
 
+def bucket_bits(n_rows: int, rows_per_bucket: int = 4096) -> int:
+    return min(31, max(1, (n_rows // rows_per_bucket).bit_length()))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Interpolated quantiles: rows (by, prob, quantile). Same values as `percentile`, without its per-group map."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))

@@ -163,19 +163,26 @@ def attention(rel: DataFrame) -> DataFrame:
 
     The group's peak and mass come from partial aggregates joined back, so a hub's in-edges never meet in one task.
     """
-    peak = rel.groupBy("dst", "relation").agg(F.max("strength").alias("peak"), F.log(F.sum(F.exp("strength"))).alias("log_mass"))
-    return rel.join(peak, ["dst", "relation"]).withColumn("weight", F.exp(F.col("strength") - F.col("log_mass"))).drop("peak", "log_mass")
+    gated = with_gates(rel)
+    mass = gated.groupBy("dst", "relation").agg(F.sum("gate").alias("mass"))
+    return gated.join(mass, ["dst", "relation"]).withColumn("weight", F.col("gate") / F.col("mass")).drop("gate", "mass")
+
+
+def with_gates(rel: DataFrame) -> DataFrame:
+    """`gate` = exp(strength - the group's largest strength): never overflows, whatever the scale of strengths."""
+    peak = rel.groupBy("dst", "relation").agg(F.max("strength").alias("peak"))
+    return rel.join(peak, ["dst", "relation"]).withColumn("gate", F.exp(F.col("strength") - F.col("peak"))).drop("peak")
 
 
 def propagate(features: DataFrame, rel: DataFrame, columns: Sequence[str], hops: int = 3) -> DataFrame:
     """h' = layer_norm(h + sum over relations of the attention-weighted mean of neighbours), `hops` times.
 
-    Softmax weights enter as sum(e^s * h) / sum(e^s): one aggregation per hop, no window over neighbours.
+    Softmax weights enter as sum(gate * h) / sum(gate): one aggregation per hop, no window over neighbours.
     """
     h = features.select("node_id", *columns)
-    rel = stage(rel)
+    rel = stage(with_gates(rel))
+    gate = F.col("gate")
     for _ in range(hops):
-        gate = F.exp("strength")
         messages = rel.join(h.withColumnRenamed("node_id", "src"), "src").groupBy("dst", "relation").agg(
             *[(F.sum(gate * F.col(c)) / F.sum(gate)).alias(c) for c in columns])
         summed = messages.groupBy(F.col("dst").alias("node_id")).agg(*[F.sum(c).alias(f"_{c}") for c in columns])

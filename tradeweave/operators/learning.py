@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeweave.operators import metrics, profile, splits, temporal
-from tradeweave.operators.cumulative import exact_quantiles
+from tradeweave.operators.cumulative import exact_quantiles, running_totals
 from tradeweave.session import stage
 
 SEED = 42
@@ -99,41 +99,40 @@ def predict_ccc(models: dict[str, PipelineModel], requests: DataFrame) -> DataFr
 
 # ------------------------------------------------------------------ survival
 def fit_cox(df: DataFrame, covariates: Sequence[str], duration: str, event: str, ridge: float = 0.05, rounds: int = 15,
-            tolerance: float = 1e-7, horizon: int = 730) -> dict[str, float]:
-    """Ridge-penalised Cox model (Breslow ties) by Newton steps.
+            tolerance: float = 1e-7) -> dict[str, float]:
+    """Ridge-penalised Cox model (Breslow ties) by Newton steps, for any durations.
 
-    Spark sums exp(eta), x exp(eta) and x x' exp(eta) per duration; only those sums reach the driver. Follow-up ends
-    at the horizon (later rows are censored there) and durations are whole days, so that is at most horizon + 1 rows
-    however many entities there are.
+    Per distinct duration Spark sums exp(eta), x exp(eta) and x x' exp(eta); running sums over later durations give the
+    risk sets, and gradient and Hessian are sums over durations. One row of those reaches the driver per step.
     """
     k = len(covariates)
-    days = F.col(duration).cast("int")
-    rows = stage(df.select(F.least(days, F.lit(horizon)).alias("t"),
-                           F.when(days <= horizon, F.col(event).cast("double")).otherwise(0.0).alias("e"),
+    rows = stage(df.select((-F.col(duration).cast("double")).alias("t"), F.col(event).cast("double").alias("e"),
                            *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(covariates)]))
     n = rows.count()
     beta = np.zeros(k)
     upper = [(i, j) for i in range(k) for j in range(i, k)]
+    names = ["s0"] + [f"s1_{i}" for i in range(k)] + [f"s2_{i}_{j}" for i, j in upper]
     for _ in range(rounds):
         eta = F.lit(0.0)
         for i, b in enumerate(beta):
             eta = eta + F.lit(float(b)) * F.col(f"x{i}")
-        weighed = rows.withColumn("w", F.exp(eta))
+        top = rows.agg(F.max(eta)).scalar()
+        weighed = rows.withColumn("w", F.exp(eta - top))
         sums = weighed.groupBy("t").agg(
-            F.sum("e").alias("d"), F.sum("w").alias("s0"), F.sum(F.col("e") * eta).alias("event_eta"),
+            F.sum("e").alias("d"), F.sum("w").alias("s0"),
             *[F.sum(F.col("w") * F.col(f"x{i}")).alias(f"s1_{i}") for i in range(k)],
             *[F.sum(F.col("e") * F.col(f"x{i}")).alias(f"ex_{i}") for i in range(k)],
             *[F.sum(F.col("w") * F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s2_{i}_{j}") for i, j in upper])
-        table = sums.toPandas().sort_values("t", ascending=False)
-        d = table["d"].to_numpy()
-        s0 = np.cumsum(table["s0"].to_numpy())
-        s1 = np.cumsum(table[[f"s1_{i}" for i in range(k)]].to_numpy(), axis=0)
-        s2 = np.cumsum(table[[f"s2_{i}_{j}" for i, j in upper]].to_numpy(), axis=0)
-        mean = s1 / s0[:, None]
-        gradient = (table[[f"ex_{i}" for i in range(k)]].to_numpy() - d[:, None] * mean).sum(axis=0) / n - ridge * beta
+        risk = running_totals(sums, "t", names)  # ascending in -duration: later durations come first
+        at = {name: F.col(f"{name}_before") + F.col(name) for name in names}
+        mean = [at[f"s1_{i}"] / at["s0"] for i in range(k)]
+        cells = risk.agg(
+            *[F.sum(F.col(f"ex_{i}") - F.col("d") * mean[i]).alias(f"g_{i}") for i in range(k)],
+            *[F.sum(F.col("d") * (at[f"s2_{i}_{j}"] / at["s0"] - mean[i] * mean[j])).alias(f"h_{i}_{j}") for i, j in upper]).first()
+        gradient = np.array([cells[f"g_{i}"] for i in range(k)]) / n - ridge * beta
         hessian = np.zeros((k, k))
-        for c, (i, j) in enumerate(upper):
-            hessian[i, j] = hessian[j, i] = (d * (s2[:, c] / s0 - mean[:, i] * mean[:, j])).sum() / n
+        for i, j in upper:
+            hessian[i, j] = hessian[j, i] = cells[f"h_{i}_{j}"] / n
         step = np.linalg.solve(hessian + ridge * np.eye(k), gradient)
         beta = beta + step
         if np.abs(step).max() < tolerance:
@@ -153,11 +152,10 @@ def cox_comparison(df: DataFrame, full: Sequence[str], financial: Sequence[str],
     """Concordance of the full and the financial-only model on train and test, one row per model and split."""
     scaled = stage(splits.hash_split(profile.zscore(df, full), [key], 80, "cox"))
     train = scaled.filter(F.col("split") == "train")
-    days = F.col(duration).cast("int")
     out = None
     for name, cols in (("full", full), ("financial_only", financial)):
         risk = F.round(partial_hazard(fit_cox(train, cols, duration, event)), 9)
-        scored = scaled.select("split", days.alias("days"), F.col(event).alias("event"), risk.alias("risk"))
+        scored = scaled.select("split", F.col(duration).alias("days"), F.col(event).alias("event"), risk.alias("risk"))
         for part in ("train", "test"):
             c = metrics.concordance_index(scored.filter(F.col("split") == part), "days", "event", "risk")
             row = c.select(F.lit(name).alias("model"), F.lit(part).alias("split"), "c_index", "n_pairs")

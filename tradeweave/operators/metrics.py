@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradeweave.functions.scalar import ratio
 from tradeweave.operators.cumulative import running_totals
+from tradeweave.session import stage
 
 
 def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
@@ -53,19 +54,21 @@ def pinball(actual: Column, predicted: Column, q: Column) -> Column:
     return F.greatest((q - 1.0) * err, q * err)
 
 
-def concordance_index(df: DataFrame, duration: str, event: str, risk: str, max_duration: int = 730) -> DataFrame:
+def concordance_index(df: DataFrame, duration: str, event: str, risk: str) -> DataFrame:
     """Share of comparable pairs in which the earlier failure has the higher risk (equal risk counts half).
 
     A pair is comparable when one side failed and the other outlived it; at equal durations only a censored row
-    outlives a failure. Instead of joining rows with rows, time is cut into dyadic blocks: every failure meets
-    the later rows through at most log2(T) blocks, and inside a block a running count over risk does the rest.
-    Durations are whole days up to `max_duration`. Work is n*log(T); no pairs are built.
+    outlives a failure. Instead of joining rows with rows, the ranks of the distinct durations are cut into dyadic
+    blocks: every failure meets the later rows through at most log2(durations) blocks, and inside a block a running
+    count over risk does the rest. Durations may be any numbers. Work is n*log(durations); no pairs are built.
     """
-    key = (2 * F.col(duration) + (1 - F.col(event))).cast("int")
-    levels = (2 * max_duration + 1).bit_length()
-    rows = df.groupBy(key.alias("k"), F.col(event).cast("int").alias("e"), F.col(risk).cast("double").alias("risk")).agg(
-        F.count(F.lit(1)).cast("double").alias("n"))
-    block = lambda b: F.floor(F.col("k") / F.lit(1 << b)).cast("int")
+    counted = stage(df.groupBy(F.col(duration).cast("double").alias("d"), F.col(event).cast("int").alias("e"),
+                               F.col(risk).cast("double").alias("risk")).agg(F.count(F.lit(1)).cast("double").alias("n")))
+    ranks = running_totals(counted.select("d").distinct().withColumn("one", F.lit(1).cast("long")), "d", ["one"])
+    ranks = stage(ranks.select("d", F.col("one_before").alias("place")))
+    levels = (2 * ranks.count() + 1).bit_length()
+    rows = counted.join(ranks, "d").withColumn("k", 2 * F.col("place") + (1 - F.col("e")))
+    block = lambda b: F.floor(F.col("k") / F.lit(1 << b)).cast("long")
     parts = []
     for b in range(levels):
         odd = block(b) % 2 == 1
@@ -100,6 +103,17 @@ def cox_loss(df: DataFrame, duration: str, event: str, log_risk: str) -> DataFra
                   / F.greatest(F.sum("events"), F.lit(1.0))).alias("loss"), F.sum("events").alias("n_events"))
 
 
+def fold_concordance(df: DataFrame, fold: str, duration: str, event: str, risk: str, k: int) -> DataFrame:
+    """Concordance within each of k folds: one row per fold, with mean and population deviation over the folds."""
+    out = None
+    for f in range(k):
+        one = concordance_index(df.filter(F.col(fold) == f), duration, event, risk).select(F.lit(f).alias("fold"), "c_index")
+        out = one if out is None else out.unionByName(one)
+    out = stage(out)
+    whole = out.agg(F.avg("c_index").alias("mean_c_index"), F.stddev_pop("c_index").alias("std_c_index"))
+    return out.crossJoin(F.broadcast(whole))  # one row
+
+
 def class_weight(df: DataFrame, label: str) -> DataFrame:
     rate = F.avg(F.col(label).cast("double"))
     return df.agg(rate.alias("pos_rate"), ((1.0 - rate) / F.greatest(rate, F.lit(1e-6))).alias("pos_weight"))

@@ -12,6 +12,7 @@ from tradeweave.operators import metrics, monitoring, scorecards, temporal
 from tradeweave.plans.oracle_base import cte, logistic as sql_logistic, sql
 from tradeweave.plans.registry import Section
 from tradeweave.plans.scores import scored_nodes
+from tradeweave.plans import series as _series  # noqa: F401  its CTEs are used here
 
 section = Section()
 QUERIES, ORACLES = section.queries, section.oracles

@@ -21,7 +21,7 @@ def sql(deps: list[str], body: str) -> str:
 
     for d in deps:
         visit(d)
-    withs = ",\n".join(f"{n} AS (\n{CTES[n][1]}\n)" for n in ordered)
+    withs = ",\n".join(f"{n} AS {'MATERIALIZED ' if n == 'shocks' else ''}(\n{CTES[n][1]}\n)" for n in ordered)
     text = f"WITH {withs}\n{body}" if withs else body
     # the same nudge as functions.scalar.settle: half-way cases go up
     return text.replace(", 6)", " + 1e-9, 6)")

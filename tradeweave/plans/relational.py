@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tradeweave.functions import scalar as S
@@ -10,7 +12,7 @@ from tradeweave.operators import joins as J
 from tradeweave.operators import profile, scorecards, splits
 from tradeweave.plans.oracle_base import TENOR, eid, hash32, sql
 from tradeweave.plans.registry import Section
-from tradeweave.session import shared_dir
+from tradeweave.session import forget_at_exit, shared_dir
 from tradeweave.sources import contract as C
 from tradeweave.sources.tables import read_results_json, write_results_json
 
@@ -42,7 +44,8 @@ def s4(m):
     rates = m.orders.agg(F.count(F.lit(1)).alias("n_orders"),
                          S.settle(F.avg((F.col("o_orderstatus") == "P").cast("double"))).alias("pending_rate"))
     from tradeweave.operators.metrics import metric_rows
-    path = f"{shared_dir(m.spark)}/results-json"
+    path = f"{shared_dir(m.spark).rstrip('/')}/results-{uuid.uuid4().hex}"
+    forget_at_exit(m.spark, path)
     write_results_json(metric_rows("orders", rates), path)
     return read_results_json(m.spark, path, "section string, metric string, value double")
 
