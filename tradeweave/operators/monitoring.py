@@ -11,6 +11,7 @@ from tradeweave.functions.scalar import ratio, settle
 from tradeweave.functions.vectors import bounds_position
 from tradeweave.operators.cumulative import quantile_row
 from tradeweave.operators.profile import unpivot
+from tradeweave.session import stage
 
 DECILES = [i / 10 for i in range(1, 10)]
 
@@ -22,23 +23,35 @@ def _bin_counts(n_bins: int) -> list[Column]:
 def _shares(n_bins: int, floor: float = 1e-4) -> Column:
     counts = F.array(*[F.col(f"b{i}") for i in range(n_bins)])
     total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(counts, lambda c: F.greatest(c / total, F.lit(floor)))
+    return F.transform(counts, lambda c: F.greatest(F.try_divide(c, total), F.lit(floor)))
+
+
+def baseline_end(df: DataFrame, day: str, months: int) -> Column:
+    """First day after the first `months` calendar months of the data, as a scalar."""
+    return df.agg(F.add_months(F.trunc(F.min(day), "month"), months)).scalar()
 
 
 def population_stability(df: DataFrame, columns: Sequence[str], month: str, is_baseline: Column) -> DataFrame:
-    """PSI per (month, feature) against baseline deciles. Counts are ten conditional sums, so empty bins stay."""
-    long = unpivot(df.withColumn("_base", is_baseline), columns, [month, "_base"])
+    """PSI per (month, feature) against baseline deciles. Counts are ten conditional sums, so empty bins stay.
+
+    Rows are counted once, by (month, is baseline, feature); expected and actual shares are sums of those counts.
+    A feature without a baseline has a null PSI and the action `no baseline`.
+    """
+    tagged = df.withColumn("_base", F.coalesce(is_baseline, F.lit(False)))
     # nine numbers per feature: they travel inside the plan as a map, so the rows are not shuffled to a few feature keys
-    edges = quantile_row(long.filter("_base"), "x", DECILES, ["metric"]).agg(
+    edges = quantile_row(unpivot(tagged.filter("_base"), columns, [month]), "x", DECILES, ["metric"]).agg(
         F.map_from_entries(F.collect_list(F.struct("metric", "edges"))).alias("m")).scalar()
-    binned = long.withColumn("_m", edges).withColumn("edges", F.element_at("_m", F.col("metric"))).withColumn(
-        "bin", bounds_position(F.col("edges"), F.col("x"), 9))
-    expected = binned.filter("_base").groupBy("metric").agg(*_bin_counts(10)).select("metric", _shares(10).alias("e"))
-    actual = binned.groupBy(month, "metric").agg(*_bin_counts(10)).select(month, "metric", _shares(10).alias("a"))
+    binned = unpivot(tagged, columns, [month, "_base"]).withColumn("_m", edges).withColumn(
+        "bin", bounds_position(F.element_at("_m", F.col("metric")), F.col("x"), 9))
+    counts = stage(binned.groupBy(month, "_base", "metric").agg(*_bin_counts(10)))
+    total = [F.sum(f"b{i}").alias(f"b{i}") for i in range(10)]
+    expected = counts.filter("_base").groupBy("metric").agg(*total).select("metric", _shares(10).alias("e"))
+    actual = counts.groupBy(month, "metric").agg(*total).select(month, "metric", _shares(10).alias("a"))
     terms = F.zip_with("a", "e", lambda a, e: (a - e) * F.log(a / e))
     psi = F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)
-    out = actual.join(expected, "metric").select(month, F.col("metric").alias("feature"), settle(psi).alias("psi"))
-    action = F.when(F.col("psi") > 0.25, "recalibrate").when(F.col("psi") > 0.10, "investigate").otherwise("stable")
+    out = actual.join(expected, "metric", "left").select(month, F.col("metric").alias("feature"), settle(psi).alias("psi"))
+    action = F.when(F.col("psi").isNull(), "no baseline").when(F.col("psi") > 0.25, "recalibrate").when(
+        F.col("psi") > 0.10, "investigate").otherwise("stable")
     return out.withColumn("action", action)
 
 

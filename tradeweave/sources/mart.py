@@ -10,7 +10,18 @@ from tradeweave.session import stage
 from tradeweave.sources import contract
 from tradeweave.sources.tables import Tables
 
-_STAGED: dict[tuple[str, str, str], DataFrame] = {}
+_STAGED: dict[tuple[str, str, int, str], DataFrame] = {}
+
+
+def file_state(spark: SparkSession, folder: str) -> int:
+    """Changes when a file of the folder's tables is added, removed or rewritten (names, sizes, times)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for depth in ("*.parquet", "*.parquet/*"):
+        for f in system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, depth)) or []:
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hash(tuple(sorted(found)))
 
 
 def forget_staged() -> None:
@@ -24,9 +35,10 @@ class Mart(Tables):
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__(spark, folder)
         self._app = spark.sparkContext.applicationId
+        self._state = file_state(spark, self.folder)
 
     def staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        key = (self._app, self.folder, name)
+        key = (self._app, self.folder, self._state, name)
         if key not in _STAGED:
             _STAGED[key] = stage(build())
         return _STAGED[key]
