@@ -12,7 +12,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeweave.operators import metrics, profile, splits, temporal
@@ -106,25 +106,34 @@ def fit_cox(df: DataFrame, covariates: Sequence[str], duration: str, event: str,
     risk sets, and gradient and Hessian are sums over durations. One row of those reaches the driver per step.
     """
     k = len(covariates)
-    rows = stage(df.select((-F.col(duration).cast("double")).alias("t"), F.col(event).cast("double").alias("e"),
-                           *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(covariates)]))
+    plain = stage(df.select((-F.col(duration).cast("double")).alias("t"), F.col(event).cast("double").alias("e"),
+                            *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(covariates)]))
+    # distinct durations, longest first, in blocks of a thousand: found once, so a step is one aggregation
+    places = running_totals(plain.select("t").distinct().withColumn("one", F.lit(1).cast("long")), "t", ["one"])
+    blocks = places.select("t", F.floor(F.col("one_before") / 1000).cast("long").alias("block"))
+    rows = stage(plain.join(blocks, "t"))
     n = rows.count()
     beta = np.zeros(k)
     upper = [(i, j) for i in range(k) for j in range(i, k)]
     names = ["s0"] + [f"s1_{i}" for i in range(k)] + [f"s2_{i}_{j}" for i, j in upper]
+    inside = Window.partitionBy("block").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(F.lit(0)).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # few blocks
     for _ in range(rounds):
         eta = F.lit(0.0)
         for i, b in enumerate(beta):
             eta = eta + F.lit(float(b)) * F.col(f"x{i}")
         top = rows.agg(F.max(eta)).scalar()
         weighed = rows.withColumn("w", F.exp(eta - top))
-        sums = weighed.groupBy("t").agg(
+        sums = weighed.groupBy("block", "t").agg(
             F.sum("e").alias("d"), F.sum("w").alias("s0"),
             *[F.sum(F.col("w") * F.col(f"x{i}")).alias(f"s1_{i}") for i in range(k)],
             *[F.sum(F.col("e") * F.col(f"x{i}")).alias(f"ex_{i}") for i in range(k)],
             *[F.sum(F.col("w") * F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s2_{i}_{j}") for i, j in upper])
-        risk = running_totals(sums, "t", names)  # ascending in -duration: later durations come first
-        at = {name: F.col(f"{name}_before") + F.col(name) for name in names}
+        offsets = sums.groupBy("block").agg(*[F.sum(name).alias(name) for name in names]).select(
+            "block", *[F.coalesce(F.sum(name).over(before), F.lit(0.0)).alias(f"o_{name}") for name in names])
+        risk = sums.select("block", "d", *[f"ex_{i}" for i in range(k)], *[
+            F.sum(name).over(inside).alias(name) for name in names]).join(offsets, "block")
+        at = {name: F.col(f"o_{name}") + F.col(name) for name in names}
         mean = [at[f"s1_{i}"] / at["s0"] for i in range(k)]
         cells = risk.agg(
             *[F.sum(F.col(f"ex_{i}") - F.col("d") * mean[i]).alias(f"g_{i}") for i in range(k)],

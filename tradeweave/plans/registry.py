@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradeweave.sources.mart import Mart
 
-SECTIONS = ["contract", "relational", "aggregates", "series", "scores", "evaluation", "network", "learning",
+SECTIONS = ["contract", "relational", "aggregates", "series", "scores", "evaluation", "network", "learning", "model_checks",
             "streams"]
 
 
