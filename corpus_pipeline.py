@@ -19,6 +19,7 @@ from tradeweave.session import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_SCORE = 0.3
+BROADCAST_IDS = 1_000_000  # 16 bytes each; more meet the texts in a shuffle
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +38,14 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links lead through: the one with the smallest id; a repeated row stays once."""
-    classes = jaccard_components(docs)
-    chosen = stage(classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
+    classes = stage(jaccard_components(docs))
+    chosen = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    if chosen.count() <= BROADCAST_IDS:
+        chosen = F.broadcast(chosen)
     kept = docs.alias("d").join(chosen.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    if not classes.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "text"])
+    return kept.select(*COLUMNS)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
