@@ -2,8 +2,10 @@ import random
 import re
 from itertools import combinations
 
+import pandas as pd
+
 from tradeweave.llm.components import components
-from tradeweave.llm.ngram_join import jaccard_components, may_link, point, points, shingles
+from tradeweave.llm.ngram_join import coarse, finest_bound, jaccard_components, may_link, point, point_bits, shingles
 from tradeweave.llm.text import hash_memo
 from tests.llm.conftest import prose
 
@@ -80,9 +82,10 @@ def test_bound_is_never_below_the_overlap():
     for n in (1, 6, 40, 3000, 40_000):
         text = prose(n, n, 10**6)
         a, b = shingles(text, memo), shingles(edited(text, n // 20, rng), memo)
-        both = points([point(a), point(b)])
+        both = coarse(pd.Series([point(a), point(b, point_bits(len(b), 16))]))
         overlap = len(set(a.tolist()) & set(b.tolist()))
         assert both.min(0).sum() >= overlap
+        assert finest_bound(point(a, point_bits(len(a), 4)), point(b, point_bits(len(b), 4) + 1)) >= overlap
         if 180 * overlap >= 80 * (len(a) + len(b)):
             assert may_link(both[:1], both[1:], len(a), len(b))
 

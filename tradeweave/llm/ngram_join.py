@@ -3,17 +3,19 @@
 A text is the set of its distinct five-word shingles (64-bit hashes). Two texts link when 100 * |A and B| reaches
 80 * |A or B|, which needs an overlap of at least 80 * (|A| + |B|) / 180.
 
-* Points. Shingles are dealt into 64 groups by hash; a set's point is its count in each group. An overlap is never
-  larger than the sum of coordinate minima of two points, nor than that of two boxes' upper corners.
+* Points. Shingles are dealt into groups by hash; a set's point is its count in each group. An overlap is never
+  larger than the sum of coordinate minima of two points, nor than that of two boxes' upper corners. Boxes have 64
+  groups; pairs that pass them are bounded again by points of more groups for longer texts, with about sixteen and then
+  about four shingles to a group.
 * Leaves. One tree over all points would not prune, as unrelated texts of a length have nearly equal counts. So the
   upper level is addressed by shingles instead of coordinates, without loss: in one common order of all shingles, two
   sets that link share one of their first |A| - 0.8 |A| + 1 shingles. The order puts frequent shingles last, by counts of
   all shingles over a table of fixed size, so a passage that many texts share makes no large leaf. Points below one
   shingle are packed by size into boxes, pairs of boxes and then of points are bounded, survivors are verified exactly.
-* Copies. Equal sets are one node. Members of a leaf are first verified against the least of them only; links found so
-  join most near copies into clusters, and leaves that hold one cluster are done. Only points of different clusters meet
-  in the rest, so a group of thousands of copies costs links in proportion to its size. Large leaves are cut into units
-  of bounded size.
+* Copies. Equal sets are one node. Members of a leaf are first verified against its centre, the text that shares most; in large leaves
+  those that are still apart meet some more centres. Links found so join near copies into clusters, and leaves that
+  hold one cluster are done. Only points of different clusters meet in the rest, so a group of thousands of copies costs
+  links in proportion to its size. Large leaves are cut into units of bounded size.
 
 Defined results: a text of one to four words is one shingle, the whole sequence; a text without words, or null, has no
 shingles and links with nothing, not even another; rows with equal sets link; rows that share an id are judged by their
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +43,10 @@ GROUPS_BITS = 6
 ORDER_BITS = 20  # cells of the frequency table that orders shingles
 BOX = 16
 UNIT = 256  # points of one part of a large leaf
+CENTRES = 8  # that members of a large leaf meet before all that are still apart meet
 BROADCAST_ROWS = 1_000_000  # ids, 8 bytes each; more meet in a shuffle
+SLICE_BITS = 16
+BITMAP_BITS = 29  # of the bitmap of shared shingles at most: 64 MB
 
 
 def shingles(text: str | None, memo: Memo) -> np.ndarray:
@@ -63,18 +69,40 @@ def prefix_length(n: int) -> int:
     return n - (SHARE * n + 99) // 100 + 1
 
 
-def point(found: np.ndarray) -> bytes:
-    """Group counts in bytes; counts beyond a byte are rounded up to a power of two, whose exponent comes first."""
-    counts = np.bincount((found >> np.uint64(64 - GROUPS_BITS)).astype(np.int64), minlength=1 << GROUPS_BITS)
+def point(found: np.ndarray, bits: int = GROUPS_BITS) -> bytes:
+    """Counts of 2^bits groups in bytes; counts beyond a byte are rounded up to a power of two, whose exponent is first."""
+    counts = np.bincount((found >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     exponent = max(0, int(counts.max(initial=0)).bit_length() - 8)
     if (counts.max(initial=0) + (1 << exponent) - 1) >> exponent > 255:
         exponent += 1
     return bytes([exponent]) + ((counts + (1 << exponent) - 1) >> exponent).astype(np.uint8).tobytes()
 
 
-def points(packed: pd.Series) -> np.ndarray:
-    table = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
-    return table[:, 1:].astype(np.int32) << table[:, :1].astype(np.int32)
+def point_bits(n: int, each: int) -> int:
+    """Groups for a set of n, about `each` shingles to a group: counts of unrelated texts differ if that is not too many."""
+    return min(max((n // each).bit_length(), GROUPS_BITS), 14)
+
+
+def coarse(packed: pd.Series) -> np.ndarray:
+    """Points of all lengths, folded to the 2^GROUPS_BITS groups of boxes."""
+    out = np.empty((len(packed), 1 << GROUPS_BITS), np.int32)
+    sizes = packed.map(len).to_numpy()
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        table = np.frombuffer(b"".join(packed.iloc[at]), np.uint8).reshape(len(at), size)
+        counts = table[:, 1:].astype(np.int32) << table[:, :1].astype(np.int32)
+        out[at] = counts.reshape(len(at), 1 << GROUPS_BITS, -1).sum(2)
+    return out
+
+
+def finest_bound(a: bytes, b: bytes) -> int:
+    """Sum of coordinate minima of two points; the finer one is folded to the other's groups first."""
+    x, y = (np.frombuffer(p, np.uint8, offset=1).astype(np.int64) << p[0] for p in (a, b))
+    if len(x) > len(y):
+        x = x.reshape(len(y), -1).sum(1)
+    elif len(y) > len(x):
+        y = y.reshape(len(x), -1).sum(1)
+    return int(np.minimum(x, y).sum())
 
 
 def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -109,7 +137,7 @@ def shingle_order(docs: DataFrame, text: str) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc, spot, node, n and, once for each node and task, its prefix and point. Written once, read several times."""
+    """doc, spot, node, n and, once for each node and task, its prefix and points. Written once, read several times."""
     order = docs.sparkSession.sparkContext.broadcast(shingle_order(docs, text))
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -120,17 +148,17 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 found = shingles(t, memo)
                 n, node = len(found), node_of(found)
                 if not n or node in seen:
-                    out.append((node, n, None, None))
+                    out.append((node, n, None, None, None))
                     continue
                 seen.add(node)
                 common = order.value[(found >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
                 first = found[np.argsort(common, kind="stable")][:prefix_length(n)]
-                out.append((node, n, first.astype(np.int64), point(found)))
+                out.append((node, n, first.astype(np.int64), point(found, point_bits(n, 16)), point(found, point_bits(n, 4))))
             yield pd.concat([batch[["doc", "spot"]].reset_index(drop=True),
-                             pd.DataFrame(out, columns=["node", "n", "prefix", "point"])], axis=1)
+                             pd.DataFrame(out, columns=["node", "n", "prefix", "point", "fine"])], axis=1)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.xxhash64(doc_id).alias("spot"), F.col(text).alias("t"))
-    return stage(rows.mapInPandas(sign, "doc long, spot long, node long, n int, prefix array<long>, point binary"))
+    return stage(rows.mapInPandas(sign, "doc long, spot long, node long, n int, prefix array<long>, point binary, fine binary"))
 
 
 def _only(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -145,45 +173,67 @@ def verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, doc_id: str,
         F.min("spot").alias("spot")).select("spot").distinct())
 
     def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = hash_memo()
+        memo, squeeze = hash_memo(), zstandard.ZstdCompressor()
         for batch in batches:
-            found = [shingles(t, memo) for t in batch["t"]]
-            yield pd.DataFrame({"node": [node_of(f) for f in found], "members": [f.tobytes() for f in found]})
+            yield pd.DataFrame({"node": [node_of(shingles(t, memo)) for t in batch["t"]],
+                                "packed": [squeeze.compress((t or "").encode("utf-8", "surrogatepass")) for t in batch["t"]]})
 
     texts = _only(docs.select(F.xxhash64(doc_id).alias("spot"), F.col(text).alias("t")), spots, "spot")
-    sets = stage(_only(texts.select("t").mapInPandas(again, "node long, members binary"), nodes, "node").dropDuplicates(
-        ["node"]))
+    packed = stage(_only(texts.select("t").mapInPandas(again, "node long, packed binary"), nodes, "node"))
 
-    def common(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b):
-            p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            out.append(100 * both >= SHARE * (len(p) + len(q) - both))
-        return pd.Series(out, dtype=bool)
+    def common(batches: Iterator[tuple]) -> Iterator[pd.Series]:
+        words, open_up = hash_memo(), zstandard.ZstdDecompressor()
+        last: dict[bytes, np.ndarray] = {}  # a leaf's least member comes again and again
+
+        def of(key: bytes) -> np.ndarray:
+            if key not in last:
+                if len(last) >= 32:
+                    last.pop(next(iter(last)))
+                last[key] = shingles(open_up.decompress(key).decode("utf-8", "surrogatepass"), words)
+            return last[key]
 
-    common.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}
+        for a, b in batches:
+            out = []
+            for x, y in zip(a, b):
+                p, q = of(bytes(x)), of(bytes(y))
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                out.append(100 * both >= SHARE * (len(p) + len(q) - both))
+            yield pd.Series(out, dtype=bool)
+
+    common.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
     linked = F.pandas_udf(common, "boolean")
-    left = sets.select(F.col("node").alias("a"), F.col("members").alias("ma"))
-    right = sets.select(F.col("node").alias("b"), F.col("members").alias("mb"))
-    return pairs.join(left, "a").join(right, "b").filter(linked("ma", "mb")).select("a", "b")
+    left = packed.select(F.col("node").alias("a"), F.col("packed").alias("pa"))
+    right = packed.select(F.col("node").alias("b"), F.col("packed").alias("pb"))
+    return pairs.join(right, "b").join(left, "a").filter(linked("pa", "pb")).select("a", "b").distinct()
 
 
 def bounded(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose points leave a link possible."""
+    """Pairs (a, b) whose fine points leave a link possible."""
     def test(na: pd.Series, nb: pd.Series, pa: pd.Series, pb: pd.Series) -> pd.Series:
-        return pd.Series(may_link(points(pa), points(pb), na.to_numpy(np.int64), nb.to_numpy(np.int64)) if len(na) else [],
-                         dtype=bool)
+        return pd.Series([(100 + SHARE) * finest_bound(x, y) >= SHARE * (m + n) for m, n, x, y in zip(na, nb, pa, pb)], dtype=bool)
 
     test.__annotations__ = {k: pd.Series for k in ("na", "nb", "pa", "pb", "return")}
     possible = F.pandas_udf(test, "boolean")
-    left = known.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
-    right = known.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
-    near = (100 * F.least("na", "nb") >= SHARE * F.greatest("na", "nb"))
-    return pairs.join(left, "a").join(right, "b").filter(near).filter(possible("na", "nb", "pa", "pb")).select("a", "b")
-
-
-def leaf_pairs(node: np.ndarray, n: np.ndarray, cluster: np.ndarray, side: np.ndarray, at: np.ndarray) -> np.ndarray:
+    left = known.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fine").alias("pa"))
+    right = known.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("pb"))
+    sizes_fit = (100 * F.least("na", "nb") >= SHARE * F.greatest("na", "nb"))
+    return pairs.join(right, "b").join(left, "a").filter(sizes_fit).filter(possible("na", "nb", "pa", "pb")).select("a", "b")
+
+
+def _pairs(node: np.ndarray, n: np.ndarray, packed: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of the rows x[i], y[i] the pairs of nodes that may link, each once."""
+    fits = 100 * np.minimum(n[x], n[y]) >= SHARE * np.maximum(n[x], n[y])
+    x, y = x[fits], y[fits]
+    fits = may_link(at[x], at[y], n[x], n[y])
+    x, y = x[fits], y[fits]
+    both, first = np.unique(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], 1), axis=0, return_index=True)
+    fine = [(100 + SHARE) * finest_bound(packed[i], packed[j]) >= SHARE * (int(n[i]) + int(n[j]))
+            for i, j in zip(x[first], y[first])]
+    return both[np.array(fine, bool)]
+
+
+def leaf_pairs(node: np.ndarray, n: np.ndarray, cluster: np.ndarray, side: np.ndarray, packed: np.ndarray,
+               at: np.ndarray) -> np.ndarray:
     """Pairs of rows of one unit that may link: sizes ascending, boxes of points, then points.
 
     `side` tells the two parts of a leaf that a unit joins; in a unit of one part (all sides 0) all rows meet.
@@ -200,13 +250,10 @@ def leaf_pairs(node: np.ndarray, n: np.ndarray, cluster: np.ndarray, side: np.nd
             continue
         others = np.concatenate([boxes[j] for j in near])
         x, y = np.repeat(own, len(others)), np.tile(others, len(own))
-        fits = (node[x] != node[y]) & (cluster[x] != cluster[y]) & (100 * np.minimum(n[x], n[y]) >= SHARE * np.maximum(
-            n[x], n[y]))
+        fits = (node[x] != node[y]) & (cluster[x] != cluster[y])
         if not whole:
             fits &= side[x] != side[y]
-        x, y = x[fits], y[fits]
-        fits = may_link(at[x], at[y], n[x], n[y])
-        found.append(np.stack([np.minimum(node[x], node[y])[fits], np.maximum(node[x], node[y])[fits]], 1))
+        found.append(_pairs(node, n, packed, at, x[fits], y[fits]))
     return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
 
 
@@ -215,7 +262,7 @@ def _search_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def pairs(rows: pd.DataFrame) -> pd.DataFrame:
         columns = [rows[c].to_numpy(np.int64) for c in ("key", "i", "j", "node", "n", "cluster", "side")]
         key, i, j, node, n, cluster, side = columns
-        at = points(rows["point"])
+        packed, at = rows["point"].to_numpy(), coarse(rows["point"])
         starts = np.flatnonzero(np.r_[True, (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)])
         sizes = np.diff(np.r_[starts, len(key)])
         unit = np.repeat(np.arange(len(starts)), sizes)
@@ -225,12 +272,10 @@ def _search_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             x = np.flatnonzero(small[:-step] & (unit[:-step] == unit[step:])) if len(unit) > step else np.empty(0, np.int64)
             y = x + step
             fits = (node[x] != node[y]) & (cluster[x] != cluster[y]) & ((i[x] == j[x]) | (side[x] != side[y]))
-            x, y = x[fits], y[fits]
-            fits = may_link(at[x], at[y], n[x], n[y])
-            found.append(np.stack([np.minimum(node[x], node[y])[fits], np.maximum(node[x], node[y])[fits]], 1))
+            found.append(_pairs(node, n, packed, at, x[fits], y[fits]))
         for u in np.flatnonzero(sizes > 8):
             own = slice(starts[u], starts[u] + sizes[u])
-            found.append(leaf_pairs(node[own], n[own], cluster[own], side[own], at[own]))
+            found.append(leaf_pairs(node[own], n[own], cluster[own], side[own], packed[own], at[own]))
         return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
 
     held = None
@@ -262,26 +307,87 @@ def leaf_candidates(members: DataFrame, clusters: DataFrame, known: DataFrame) -
     return ordered.mapInPandas(_search_units, "a long, b long").distinct()
 
 
+def stars(members: DataFrame, clusters: DataFrame | None = None, centres: int = 1) -> DataFrame:
+    """Pairs (a, b) of each leaf's centres, by weight and then some by hash, with the leaf's members of other clusters."""
+    placed = members.withColumn("cluster", F.col("node")) if clusters is None else members.join(
+        clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
+    heaviest = F.max(F.struct(F.col("weight").alias("rank"), F.col("node"), F.col("cluster")))
+    drawn = [F.max(F.struct(F.xxhash64("node", F.lit(c)).cast("double").alias("rank"), F.col("node"), F.col("cluster")))
+             for c in range(1, centres)]
+    chosen = F.transform(F.array(heaviest, *drawn), lambda c: F.struct(c["node"].alias("node"), c["cluster"].alias("cluster")))
+    leaves = placed.groupBy("key").agg(chosen.alias("chosen"), F.min("cluster").alias("low"), F.max("cluster").alias("high"))
+    leaves = leaves.filter(F.col("low") != F.col("high")).select("key", F.explode(F.array_distinct("chosen")).alias("centre")).select(
+        "key", F.col("centre.node").alias("a"), F.col("centre.cluster").alias("own"))
+    return placed.join(leaves, "key").filter(F.col("cluster") != F.col("own")).select(
+        "a", F.col("node").alias("b")).distinct()
+
+
+def shared_members(signed: DataFrame) -> DataFrame:
+    """(key, node, weight): prefix shingles that more than one row has, with the nodes that have them.
+
+    The weight is a node's share of such shingles: the text that others are copies of has the most.
+
+    Most prefix shingles occur once and are counted away as bare keys. A bitmap of bounded size of the shared ones then
+    thins out the prefixes where they lie; what it lets through by chance falls out of the join with the keys.
+    """
+    prefixes = signed.filter(F.col("prefix").isNotNull())
+    shared = stage(prefixes.select(F.explode("prefix").alias("key")).groupBy("key").agg(
+        F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("key"))
+    bits = min(max((16 * shared.count()).bit_length(), SLICE_BITS), BITMAP_BITS)
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        slices: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = np.unique(batch["key"].to_numpy(np.int64) & ((1 << bits) - 1))
+            for part in np.unique(at >> SLICE_BITS):
+                own = slices.setdefault(int(part), np.zeros(1 << SLICE_BITS, bool))
+                own[at[at >> SLICE_BITS == part] & ((1 << SLICE_BITS) - 1)] = True
+        yield pd.DataFrame([(k, np.packbits(v).tobytes()) for k, v in slices.items()], columns=["part", "bits"])
+
+    def join(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        both = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in group["bits"]])
+        return pd.DataFrame({"part": [key[0]], "bits": [both.tobytes()]})
+
+    kind, size = "part int, bits binary", 1 << (SLICE_BITS - 3)
+    bitmap = np.zeros(1 << (bits - 3), np.uint8)
+    for r in shared.mapInPandas(mark, kind).groupBy("part").applyInPandas(join, kind).collect():
+        bitmap[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+    sent = signed.sparkSession.sparkContext.broadcast(bitmap)
+
+    def thin(prefix: pd.Series) -> pd.Series:
+        out = []
+        for keys in prefix:
+            at = keys & ((1 << bits) - 1)
+            out.append(keys[(sent.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0])
+        return pd.Series(out)
+
+    thin.__annotations__ = {"prefix": pd.Series, "return": pd.Series}
+    thinned = prefixes.select("node", "n", F.explode(F.pandas_udf(thin, "array<long>")("prefix")).alias("key"))
+    found = stage(thinned.join(shared, "key").select("key", "node", "n"))
+    weights = found.groupBy("node").agg((F.count(F.lit(1)) / F.first("n")).alias("weight"))
+    return stage(found.drop("n").join(weights, "node").select("key", "node", "weight"))
+
+
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest id that links lead to."""
     inner, at = apart(docs)
     key, body = at[doc_id], at[text]
     signed = signatures(inner, key, body)
-    known = signed.filter(F.col("point").isNotNull()).select("node", "n", "point").dropDuplicates(["node"])
-    known = stage(known)
-    keyed = signed.filter(F.col("prefix").isNotNull()).select(F.explode("prefix").alias("key"), "node")
-    shared = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter(
-        F.col("least") != F.col("most")).select("key", "least")
-    members = stage(keyed.join(shared, "key"))
-    stars = members.filter(F.col("node") != F.col("least")).select(F.col("least").alias("a"), F.col("node").alias("b"))
-    first = stage(verified(stage(bounded(stars.distinct(), known)), signed, inner, key, body))
-    clusters = stage(components(first))
-    second = stage(verified(stage(leaf_candidates(members.select("key", "node").distinct(), clusters, known)),
-                            signed, inner, key, body))
-    found = stage(components(first.union(second)))
+    known = stage(signed.filter(F.col("point").isNotNull()).select("node", "n", "point", "fine").dropDuplicates(["node"]))
+    members = shared_members(signed)
+    links = stage(verified(stage(bounded(stars(members), known)), signed, inner, key, body))
+    clusters = stage(components(links))
+    large = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > UNIT).select("key")
+    crowded = stars(members.join(large, "key"), clusters, CENTRES)
+    more = stage(verified(stage(bounded(crowded, known)), signed, inner, key, body))
+    links = stage(links.union(more))
+    clusters = stage(components(links))
+    crossing = stage(bounded(leaf_candidates(members.select("key", "node"), clusters, known), known))
+    second = stage(verified(crossing, signed, inner, key, body))
+    found = stage(components(links.union(second)))
     rows = signed.select("doc", "node", "n").join(found, "node", "left").withColumn(
         "cluster", F.coalesce("cluster", "node"))
-    least = rows.filter(F.col("n") > 0).groupBy("cluster").agg(F.min("doc").alias("least"))
-    return rows.join(least, "cluster", "left").select(
+    least_id = rows.filter(F.col("n") > 0).groupBy("cluster").agg(F.min("doc").alias("least"))
+    return rows.join(least_id, "cluster", "left").select(
         F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
