@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from tradeweave.llm.text import add_columns, apart, together
 
-RUN = 48  # longest stretch of a word that one lattice covers
-HELD_WORDS = 300_000  # distinct words a worker counts or remembers at a time
+RUN = 48  # longest stretch of a word that one lattice covers, below 64
+HELD_WORDS = 1_000_000  # distinct words a worker counts or remembers at a time
 CHUNK_CHARS = 1_000_000  # characters of texts that are split into words at a time
 SMOOTHING = 0.05  # added to every piece's expected count
 UNKNOWN = 1e-7  # probability of a character that is no piece
@@ -51,7 +52,9 @@ class Vocabulary:
             self.ids.setdefault(model.id_to_piece(i), len(self.ids))
         self.unknown = len(self.ids)
         self.size = self.unknown + 1
-        self.prefixes = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
+        if self.size >= 1 << 16:
+            raise ValueError("more pieces than a lattice can hold")
+        self.known = dict.fromkeys((p[:n] for p in self.ids for n in range(1, len(p))), -1) | self.ids
 
     @classmethod
     def load(cls, path: str) -> "Vocabulary":
@@ -69,26 +72,25 @@ class Vocabulary:
 
     def lattice(self, texts: list[str]) -> "Lattice":
         """All pieces that occur in the texts; a word starts with the vocabulary's mark of a word."""
-        word, start, end, piece, lengths = [], [], [], [], []
-        ids, prefixes, unknown = self.ids, self.prefixes, self.unknown
+        edges: list[int] = []  # word, start, end and piece of each in one number
+        add, known, unknown = edges.append, self.known.get, self.unknown
         for w, text in enumerate(texts):
-            n = len(text)
-            lengths.append(n)
-            for i in range(n):
+            for i in range(len(text)):
+                at = (w << 12 | i << 6) << 16
                 j = i + 1
-                cut = text[i:j]
-                if cut not in ids:
-                    word.append(w), start.append(i), end.append(j), piece.append(unknown)
-                while cut in prefixes:
-                    found = ids.get(cut)
-                    if found is not None:
-                        word.append(w), start.append(i), end.append(j), piece.append(found)
-                    if j == n:
-                        break
+                found = known(text[i:j])
+                if found is None or found < 0:
+                    add(at | j << 16 | unknown)
+                while found is not None:
+                    if found >= 0:
+                        add(at | j << 16 | found)
                     j += 1
-                    cut = text[i:j]
-        return Lattice(np.array(word, np.int64), np.array(start, np.int64), np.array(end, np.int64),
-                       np.array(piece, np.int64), np.array(lengths, np.int64))
+                    if j > len(text):
+                        break
+                    found = known(text[i:j])
+        packed = np.array(edges, np.int64)
+        return Lattice(packed >> 28, packed >> 22 & 63, packed >> 16 & 63, packed & 0xFFFF,
+                       np.fromiter(map(len, texts), np.int64, len(texts)))
 
 
 class Lattice:
@@ -208,50 +210,39 @@ def learn(docs: DataFrame, text: str, lang: str, path: str) -> tuple[list[str],
 
 
 class Scorer:
-    """Sums of word log-probabilities of texts; remembers a bounded number of words."""
+    """Sums of word log-probabilities of texts. The first HELD_WORDS words met are remembered, later ones for a chunk of texts."""
 
     def __init__(self, path: str, p: np.ndarray):
         self.vocabulary, self.p = Vocabulary.load(path), p
         self.rows: dict[str, int] = {}
         self.table = np.empty((HELD_WORDS, p.shape[1]))
 
-    def _remember(self, words: set[str]) -> None:
-        new = list(words)
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            cut = [(k, r) for k, w in enumerate(part) for r in runs(w)]
-            each = self.vocabulary.lattice([r for _, r in cut]).log_probabilities(self.p)
-            sums = np.zeros((len(part), self.p.shape[1]))
-            np.add.at(sums, [k for k, _ in cut], each)
-            first = len(self.rows)
-            self.table[first:first + len(part)] = sums
-            self.rows.update(zip(part, range(first, first + len(part))))
-
-    def score(self, text: str) -> np.ndarray:
-        total = np.zeros(self.p.shape[1])
-        words = text.lower().split()
-        for at in range(0, len(words), HELD_WORDS // 2):  # no part has more words than the table has rows
-            part = words[at:at + HELD_WORDS // 2]
-            new = set(part) - self.rows.keys()
-            if len(self.rows) + len(new) > HELD_WORDS:
-                self.rows.clear()
-                new = set(part)
-            if new:
-                self._remember(new)
-            total += self.table[np.fromiter(map(self.rows.__getitem__, part), np.int64, len(part))].sum(0)
-        return total
+    def _log_probabilities(self, words: list[str]) -> np.ndarray:
+        out = np.zeros((len(words), self.p.shape[1]))
+        for at in range(0, len(words), 20_000):
+            cut = [(k, r) for k, w in enumerate(words[at:at + 20_000], at) for r in runs(w)]
+            np.add.at(out, [k for k, _ in cut], self.vocabulary.lattice([r for _, r in cut]).log_probabilities(self.p))
+        return out
 
     def score_many(self, texts: list[str]) -> list[np.ndarray]:
-        """Words that are new in a chunk of texts are looked up together."""
+        """Sums over each text's words; words that are new in a chunk of texts are looked up together."""
         out = []
         for part in chunks(texts):
-            new = set(" ".join(part).lower().split()) - self.rows.keys()
-            if len(self.rows) + len(new) > HELD_WORDS:
-                self.rows.clear()
-                new = set(" ".join(part).lower().split())
-            if len(new) <= HELD_WORDS:
-                self._remember(new)
-            out += [self.score(t) for t in part]
+            split = [t.lower().split() for t in part]
+            rows = [np.fromiter(map(self.rows.get, words, repeat(-1)), np.int64, len(words)) for words in split]
+            missing = [[words[i] for i in np.flatnonzero(at < 0)] for words, at in zip(split, rows)]
+            fresh = {w: k for k, w in enumerate(dict.fromkeys(chain.from_iterable(missing)))}
+            new = list(fresh)
+            found = self._log_probabilities(new)
+            for at, words in zip(rows, missing):
+                sums = self.table[at[at >= 0]].sum(0)
+                if words:
+                    sums = sums + found[np.fromiter(map(fresh.__getitem__, words), np.int64, len(words))].sum(0)
+                out.append(sums)
+            first = len(self.rows)
+            room = min(len(new), HELD_WORDS - first)
+            self.table[first:first + room] = found[:room]
+            self.rows.update(zip(new[:room], range(first, first + room)))
         return out
 
 
