@@ -105,8 +105,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_lm_cross_entropy")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
-    from tradeweave.llm.lm_scoring import score_documents
-    return score_documents(table(spark, folder, "documents"), table(spark, folder, "labels")).select(
+    from tradeweave.llm.ngram_counts import score_by_counts
+    return score_by_counts(table(spark, folder, "documents"), table(spark, folder, "labels")).select(
         "doc_id", "n_tokens", "target_loss", "background_loss", "score")
 
 
