@@ -21,7 +21,7 @@ import base64
 import heapq
 import re
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -36,7 +36,6 @@ from tradeweave.session import stage
 LENGTH = 1024
 END = 2
 GROUP_PIECES = 10_000
-SEARCH_TRIES = 2000  # bins that a group's search looks at; best fit leaves few to empty
 
 
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
@@ -108,74 +107,112 @@ def best_fit(sizes: list[int], length: int) -> list[list[int]]:
     return bins
 
 
+class OpenBins:
+    """Bins by the size of a piece in them (0: any bin) and by fill."""
+
+    def __init__(self):
+        self.sizes: list[int] = []
+        self.fills: dict[int, list[int]] = {}
+        self.bins: dict[tuple[int, int], dict[int, None]] = defaultdict(dict)
+
+    def add(self, b: int, fill: int, sizes: set[int]) -> None:
+        for size in (0, *sizes):
+            if size not in self.fills:
+                insort(self.sizes, size)
+                self.fills[size] = []
+            if not self.bins[size, fill]:
+                insort(self.fills[size], fill)
+            self.bins[size, fill][b] = None
+
+    def remove(self, b: int, fill: int, sizes: set[int]) -> None:
+        for size in (0, *sizes):
+            del self.bins[size, fill][b]
+            if not self.bins[size, fill]:
+                del self.bins[size, fill]
+                fills = self.fills[size]
+                del fills[bisect_left(fills, fill)]
+                if not fills:
+                    del self.fills[size], self.sizes[bisect_left(self.sizes, size)]
+
+    def fullest(self, size: int, most: int) -> int | None:
+        """The largest fill, up to `most`, of a bin that holds a piece of the size."""
+        at = bisect_right(self.fills[size], most)
+        return self.fills[size][at - 1] if at else None
+
+
 class LocalSearch:
     """Bins that are not full, kept by fill; steps that raise the sum of squared fills.
 
     Moving d tokens from a bin of fill a to one of fill b changes the sum by 2 d (b - a + d): any step that leaves
     the fuller bin fuller, or gives it more than the difference, helps. For the emptiest bin the search looks for the
-    target that a step fills best.
+    target that a step fills best: for each size that the target may give back, the fullest bin with room enough.
     """
 
     def __init__(self, bins: list[list[int]], sizes: list[int], length: int):
         self.sizes, self.length, self.bins = sizes, length, bins
         self.fill = [sum(sizes[i] for i in b) for b in bins]
+        self.open = OpenBins()
+
+    def run(self) -> list[list[int]]:
+        """Emptiest bins first; ends at the fewest bins that can hold all, or when no step helps any bin.
 
-    def run(self, tries: int = SEARCH_TRIES) -> list[list[int]]:
-        """Emptiest bins first; ends at the fewest bins that can hold all, or when no step helps any bin."""
+        A bin without a helpful step is looked at again in the next round, as long as rounds make steps.
+        """
         fewest = -(-sum(self.fill) // self.length)
         alive = {b for b in range(len(self.bins)) if self.fill[b] < self.length}
-        queue = [(self.fill[b], b) for b in alive]
-        heapq.heapify(queue)
-        count = len(self.bins)
-        while queue and count > fewest and tries:
-            fill, b = heapq.heappop(queue)
-            if fill != self.fill[b] or not fill:
-                continue
-            tries -= 1
-            c = self._step(b, alive)
-            if c is None:
-                continue
-            for x in (b, c):
-                if not self.fill[x] or self.fill[x] == self.length:
-                    alive.discard(x)
-                    count -= not self.fill[x]
-                else:
-                    heapq.heappush(queue, (self.fill[x], x))
+        for b in sorted(alive):
+            self.open.add(b, self.fill[b], set(self._by_size(b)))
+        count, stepped = len(self.bins), True
+        while stepped and count > fewest:
+            stepped = False
+            queue = [(self.fill[b], b) for b in alive]
+            heapq.heapify(queue)
+            while queue and count > fewest:
+                fill, b = heapq.heappop(queue)
+                if fill != self.fill[b] or b not in alive:
+                    continue
+                c = self._step(b)
+                if c is None:
+                    continue
+                stepped = True
+                for x in (b, c):
+                    if not self.fill[x] or self.fill[x] == self.length:
+                        alive.discard(x)
+                        count -= not self.fill[x]
+                    else:
+                        self.open.add(x, self.fill[x], set(self._by_size(x)))
+                        heapq.heappush(queue, (self.fill[x], x))
         return [b for b in self.bins if b]
 
-    def _step(self, b: int, alive: set[int]) -> int | None:
-        """The best move or exchange between bin b and a fuller open one; the other bin, or None."""
-        best = (0, None)
-        own = self._by_size(b)
+    def _step(self, b: int) -> int | None:
+        """The best move or exchange between bin b and another open one; the other bin, or None. Takes both bins out
+        of the open ones when there is one."""
+        best, found = 0, None
+        own, fill = self._by_size(b), self.fill[b]
         pairs = {x + y: (i, j) for x, i in own.items() for y, j in self._pairs_with(b, x, i)}
-        for c in alive:
-            if c == b:
-                continue
-            room, ahead = self.length - self.fill[c], self.fill[c] - self.fill[b]
-            if room <= 0:
-                continue
-            theirs = {0: None, **self._by_size(c)}
-            for given, swaps in ((own, 1), (pairs, 2)):
-                for size, what in given.items():
-                    if size <= room:
-                        options = ((0, None),)
-                    else:
-                        options = theirs.items()
-                    for back, other in options:
-                        gain = size - back
-                        if 0 < gain <= room:
-                            raised = 2 * gain * (ahead + gain)
-                            if raised > best[0]:
-                                best = (raised, (c, what, other))
-        if best[1] is None:
+        self.open.remove(b, fill, set(own))
+        for given in (own, pairs):
+            for size, what in given.items():
+                for back in self.open.sizes:
+                    gain = size - back
+                    if gain <= 0 or 2 * gain * (self.length - fill) <= best:  # what a target without room left would give
+                        break
+                    target = self.open.fullest(back, self.length - gain)
+                    if target is not None and (raised := 2 * gain * (target - fill + gain)) > best:
+                        best, found = raised, (what, back, target)
+        if found is None:
+            self.open.add(b, fill, set(own))
             return None
-        c, what, other = best[1]
+        what, back, target = found
+        c = next(iter(self.open.bins[back, target]))
+        theirs = self._by_size(c)
+        self.open.remove(c, target, set(theirs))
         for i in what if isinstance(what, tuple) else (what,):
             self.bins[b].remove(i)
             self.bins[c].append(i)
-        if other is not None:
-            self.bins[c].remove(other)
-            self.bins[b].append(other)
+        if back:
+            self.bins[c].remove(theirs[back])
+            self.bins[b].append(theirs[back])
         for x in (b, c):
             self.fill[x] = sum(self.sizes[i] for i in self.bins[x])
         return c
