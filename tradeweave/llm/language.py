@@ -6,7 +6,7 @@ probabilities are learned per language by the matching expectation step (forward
 learning rows), from a start that favours the vocabulary's early, frequent pieces in the same way for all languages.
 
 Words are lower-cased and cut at white space; lattices of many distinct words are built at once and their recursions
-run over numpy arrays. A word of more than 48 characters is scored as consecutive runs of 48. Each worker remembers a
+run over numpy arrays; words whose products come near the least number are summed in logarithms. A word of more than 48 characters is scored as consecutive runs of 48. Each worker remembers a
 bounded number of words.
 
 Defined results: a null text or one without a letter is `und` with score 0; rows with a null language are not learned
@@ -33,6 +33,7 @@ CHUNK_CHARS = 1_000_000  # characters of texts that are split into words at a ti
 SMOOTHING = 0.05  # added to every piece's expected count
 UNKNOWN = 1e-7  # probability of a character that is no piece
 _SCALE = 64.0  # per character, keeps products of probabilities in range
+_LEAST = 1e-150  # smaller sums are taken in logarithms; what products lose in RUN characters is below 1e-200
 _COUNT_PARTS = 1 << 16  # expected counts are summed as whole numbers of these parts
 
 
@@ -129,7 +130,28 @@ class Lattice:
 
     def log_probabilities(self, p: np.ndarray) -> np.ndarray:
         """Array (word, language)."""
-        return np.log(self.totals(self.forward(p))) - (self.lengths * np.log(_SCALE))[:, None]
+        totals = self.totals(self.forward(p))
+        low = (totals < _LEAST).any(axis=1)
+        out = np.log(np.where(low[:, None], 1.0, totals)) - (self.lengths * np.log(_SCALE))[:, None]
+        if low.any():
+            own = low[self.word]
+            part = Lattice((np.cumsum(low) - 1)[self.word[own]], self.start[own], self.end[own], self.piece[own],
+                           self.lengths[low])
+            out[low] = part.totals(part.log_forward(np.log(p)))
+        return out
+
+    def log_forward(self, log_p: np.ndarray) -> np.ndarray:
+        """Logarithms of the forward sums, for any probabilities: array (end, word, language)."""
+        sums = np.full((int(self.lengths.max(initial=0)) + 1, len(self.lengths), log_p.shape[1]), -np.inf)
+        sums[0] = 0
+        for e, rows in self._steps(self.end):
+            words = self.word[rows]
+            firsts = np.flatnonzero(np.r_[True, np.diff(words) > 0])
+            values = sums[self.start[rows], words] + log_p[self.piece[rows]]
+            top = np.maximum.reduceat(values, firsts, axis=0)
+            spread = np.exp(values - np.repeat(top, np.diff(np.r_[firsts, len(rows)]), axis=0))
+            sums[e, words[firsts]] = top + np.log(np.add.reduceat(spread, firsts, axis=0))
+        return sums
 
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece when word w occurs counts[w] times; p is one column."""
