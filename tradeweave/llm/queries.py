@@ -125,3 +125,55 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     from tradeweave.llm.ngram_join import jaccard_components
     return jaccard_components(table(spark, folder, "documents"))
+
+
+@query("op11_whole_token_counts")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    from tradeweave.llm.token_counts import count_tokens
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return count_tokens(docs, tokenizer_path("word_bpe_49k.json"), limit=2048).select(
+        "doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query("op12_importance_resampling")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    from tradeweave.llm.resampling import resample
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    drawn = resample(docs, table(spark, folder, "benchmark"), percent=5, least_words=20, seed=42, carry=["doc_id"])
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_collocations", oracle=r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+                  unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                         'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents),
+p AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+g AS (SELECT lang, id, unnest(w) AS w, unnest(range(1, len(w) + 1)) AS i FROM p),
+runs AS (SELECT lang, w AS w1, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM g
+         WINDOW o AS (PARTITION BY id ORDER BY i)),
+f AS (SELECT lang, w1 AS phrase, 1 AS size, count(*) AS a FROM runs GROUP BY ALL HAVING count(*) >= 30
+      UNION ALL SELECT lang, w1 || ' ' || w2, 2, count(*) FROM runs WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+      UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, 3, count(*) FROM runs WHERE w3 IS NOT NULL
+      GROUP BY ALL HAVING count(*) >= 30
+      UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, 4, count(*) FROM runs WHERE w4 IS NOT NULL
+      GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size >= 2),
+cuts AS (SELECT c.lang, c.phrase, c.a, cut, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a) // (x.a + y.a) AS score
+         FROM c, (VALUES (1), (2), (3)) k(cut), f x, f y
+         WHERE cut < c.size AND x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ')
+           AND y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:c.size], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_runs AS (SELECT c.lang, array_to_string(c.w[i:i + size2 - 1], ' ') AS phrase, max(c.a) AS longer
+               FROM c, (VALUES (1), (2), (3)) s(i), (VALUES (2), (3)) t(size2)
+               WHERE size2 < c.size AND i + size2 - 1 <= c.size GROUP BY ALL),
+kept AS (SELECT weakest.* FROM weakest LEFT JOIN inner_runs USING (lang, phrase)
+         WHERE longer IS NULL OR 100 * longer < 80 * a),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM placed JOIN total USING (lang) WHERE rank <= 2000""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    from tradeweave.llm.collocations import collocations
+    return collocations(table(spark, folder, "documents"), least=30, most=2000).select(
+        "lang", "rank", "phrase", "a", "l", "r", "n", "score")
