@@ -199,7 +199,7 @@ def test_sample_that_misses_everything(spark, monkeypatch):
         runs = C.frequent_runs(frame, "text", "lang", "doc_id", 5, sample=sample)
         assert runs.filter("size = 4").count() == 2 and runs.filter("size = 0").first()["n"] == 36
         assert runs.count() == runs.select("phrase").distinct().count() == 6 + 4 + 3 + 2 + 1
-    monkeypatch.setattr(C, "MOST_BITS", 64)
+    monkeypatch.setattr(C, "MOST_BITS", 128)
     assert phrases_of(frame, least=5, most=100) == want
 
 

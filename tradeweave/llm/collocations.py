@@ -6,7 +6,7 @@ counts all words, the proposed phrases and their negative border, that is the ph
 and without the first word are proposed. Any border phrase that turns out frequent is added to the proposed ones, and a
 further pass counts just the border that this opens. When no border phrase is frequent, every frequent phrase has been
 counted: its parts are frequent, so they are proposed, so it was counted. At most `longest` full passes; the sample
-decides how much work they do, never what they find.
+decides how much work they do, never what they find. The sample itself is mined level by level.
 
 Which phrases are proposed is told to the tasks by a bitmap of their hashes (bounded: MOST_BITS). A false hit counts one
 phrase more than needed, never one less, so beyond the bound passes grow and results stay. A phrase was counted before
@@ -37,7 +37,7 @@ from tradeweave.llm.word_slices import byte_table, slices
 from tradeweave.session import stage
 
 SAMPLE = 8  # one document in so many proposes phrases
-LOWERED = 0.6  # of the threshold's share that falls on the sample
+LOWERED = 0.8  # of the threshold's share that falls on the sample
 BLOCK_WORDS = 500_000
 MOST_BITS = 1 << 29  # of a bitmap: 64 MB
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -65,20 +65,29 @@ def bit_places(hashes: np.ndarray, mask: np.uint64) -> tuple[np.ndarray, np.ndar
     return hashes & mask, (hashes >> np.uint64(33)) & mask
 
 
-def _start(lang: str, word_hashes: np.ndarray) -> np.ndarray:
-    return mixed(word_hashes ^ np.uint64(xxhash.xxh3_64_intdigest(lang.encode())))
+def _seed(lang: str) -> int:
+    return xxhash.xxh3_64_intdigest(lang.encode())
+
+
+def _start(seed, word_hashes: np.ndarray) -> np.ndarray:
+    return mixed(word_hashes ^ seed)
 
 
 def _longer(hashes: np.ndarray, next_word: np.ndarray) -> np.ndarray:
     return mixed(hashes * _STEP ^ next_word)
 
 
-def phrase_hash(lang: str, words: list[bytes]) -> int:
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-    out = _start(lang, hashes[:1])
-    for k in range(1, len(words)):
-        out = _longer(out, hashes[k:k + 1])
-    return int(out[0])
+def phrase_hashes(langs: list[str], phrases: list[str]) -> np.ndarray:
+    split = [p.encode().split(b" ") for p in phrases]
+    size = np.fromiter(map(len, split), np.int64, len(split))
+    words = np.fromiter((xxhash.xxh3_64_intdigest(w) for p in split for w in p), np.uint64, size.sum())
+    begin = np.cumsum(size) - size
+    seeds = {name: _seed(name) for name in set(langs)}
+    out = _start(np.fromiter(map(seeds.__getitem__, langs), np.uint64, len(langs)), words[begin])
+    for k in range(1, size.max(initial=0)):
+        has = size > k
+        out[has] = _longer(out[has], words[begin[has] + k])
+    return out
 
 
 class _Numbers(dict):
@@ -96,7 +105,7 @@ def _count_block(lang: str, tokens: list[bytes], new: np.ndarray, longest: int,
                  seen: Bitmap | None, first: bool) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
     """(size, phrases, counts) of a block: runs whose last word is `new`, whose parts are wanted, not counted before.
 
-    Without `wanted` all runs count (the sample).
+    Without `wanted` all runs count.
     """
     numbers = _Numbers()
     ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
@@ -111,7 +120,7 @@ def _count_block(lang: str, tokens: list[bytes], new: np.ndarray, longest: int,
 
     # size 1: `code` numbers the run that starts at a place, -1 where there is none
     code = ids.copy()
-    hashes, phrases = _start(lang, word_hash), vocabulary
+    hashes, phrases = _start(np.uint64(_seed(lang)), word_hash), vocabulary
     good, before = told(wanted, hashes, True), told(seen, hashes, False)
     good[0] = before[0] = False
     if first:
@@ -164,27 +173,32 @@ def _tokens_by_language(batches: Iterator[pa.RecordBatch], keep: int) -> Iterato
     yield from ((name, *kept) for name, kept in held.items())
 
 
-def count_runs(texts: DataFrame, longest: int, wanted=None, seen=None, first: bool = True) -> DataFrame:
-    """(lang, phrase, size, n): exact counts over all of `texts` (lang, text binary). Size 0 holds the number of words.
+def count_runs(texts: DataFrame, longest: int, wanted: np.ndarray, seen: np.ndarray | None = None) -> DataFrame:
+    """(lang, phrase, n): exact counts over all of `texts` (lang, text binary); the empty phrase holds the number of words.
 
-    `wanted` and `seen` are broadcasts of bitmap words, or None.
+    `wanted` tells the phrases that may be parts of longer ones. With `seen`, the bitmap of the pass before, only phrases
+    that pass did not count are counted. Both are broadcast, MOST_BITS bits at most.
     """
+    sc = texts.sparkSession.sparkContext
+    maps = [None if m is None else sc.broadcast(m.tobytes()) for m in (wanted, seen)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = [None if b is None else Bitmap(np.frombuffer(b.value, np.uint64)) for b in (wanted, seen)]
+        told = [None if m is None else Bitmap(np.frombuffer(m.value, np.uint64)) for m in maps]
         for lang, tokens, sizes, leads in _tokens_by_language(batches, longest - 1):
             begin = np.repeat(np.cumsum(sizes) - sizes, sizes)
             new = np.arange(len(tokens)) - begin >= np.repeat(leads, sizes)
-            for size, phrases, counts in _count_block(lang, tokens, new, longest, *maps, first):
+            for _, phrases, counts in _count_block(lang, tokens, new, longest, *told, told[1] is None):
                 for at in range(0, len(counts), 100_000):
                     part = phrases[at:at + 100_000]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(part), pa.string()), part.cast(pa.string()),
-                         pa.array(np.full(len(part), size, np.int32)), pa.array(counts[at:at + 100_000].astype(np.int64))],
-                        ["lang", "phrase", "size", "n"])
+                        [pa.array([lang]).take(pa.array(np.zeros(len(part), np.int64))), part.cast(pa.string()),
+                         pa.array(counts[at:at + 100_000].astype(np.int64))], ["lang", "phrase", "n"])
 
-    return texts.mapInArrow(run, "lang string, phrase string, size int, n long").groupBy("lang", "phrase", "size").agg(
-        F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+
+def bits_for(n_phrases: int) -> int:
+    return min(MOST_BITS, 1 << (32 * max(2048, n_phrases) - 1).bit_length())
 
 
 def bitmap_of(phrases: DataFrame, bits: int) -> np.ndarray:
@@ -192,8 +206,7 @@ def bitmap_of(phrases: DataFrame, bits: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = np.array([phrase_hash(lang, p.encode().split(b" ")) for lang, p in zip(
-                batch["lang"].to_pylist(), batch["phrase"].to_pylist())], np.uint64)
+            hashes = phrase_hashes(batch["lang"].to_pylist(), batch["phrase"].to_pylist())
             at = np.concatenate(bit_places(hashes, np.uint64(bits - 1))).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(at)], ["at"])
 
@@ -205,38 +218,45 @@ def bitmap_of(phrases: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def frequent_runs(docs: DataFrame, text: str, lang: str, key: str, least: int, longest: int = 4,
-                  unknown: str = "und", sample: int = SAMPLE) -> DataFrame:
-    """(lang, phrase, size, n) of all phrases that occur `least` times or more, and size 0 with the number of words."""
-    sc = docs.sparkSession.sparkContext
-    data = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
-    texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(unknown)).alias("lang"), data.alias("text"),
-                        (F.pmod(F.xxhash64(F.col(key), data), F.lit(sample)) == 0).alias("drawn"))
-    lowered = max(1, math.floor(LOWERED * least / sample))
-    proposed = stage(count_runs(texts.filter("drawn").drop("drawn"), longest - 1).filter(
-        (F.col("size") > 0) & (F.col("n") >= lowered)).select("lang", "phrase"))
-    texts = texts.drop("drawn")
-    bits = min(MOST_BITS, 1 << (32 * max(2048, proposed.count()) - 1).bit_length())
-    wanted, seen, found = bitmap_of(proposed, bits), None, []
+def _closed(texts: DataFrame, longest: int, least: int, proposed: DataFrame | None) -> DataFrame:
+    """(lang, phrase, size, n) of all phrases counted `least` times or more: passes over `texts` until no phrase of the
+    border is frequent. Without proposed phrases this is the level-wise search."""
+    wanted = np.zeros(1, np.uint64) if proposed is None else bitmap_of(proposed, bits_for(proposed.count()))
+    seen, found = None, []
+    size = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ", -1)))
     while True:
-        shared = [None if m is None else sc.broadcast(m.tobytes()) for m in (wanted, seen)]
-        found.append(stage(count_runs(texts, longest, *shared, first=seen is None).filter(
-            (F.col("size") == 0) | (F.col("n") >= least))))
-        failures = stage(found[-1].filter((F.col("size") > 0) & (F.col("size") < longest)).select(
-            "lang", "phrase").join(proposed, ["lang", "phrase"], "left_anti"))
-        for b in shared:
-            if b is not None:
-                b.unpersist()
-        more = wanted | bitmap_of(failures, bits)
+        found.append(stage(count_runs(texts, longest, wanted, seen).filter(
+            (F.col("phrase") == "") | (F.col("n") >= least)).withColumn("size", size)))
+        failures = found[-1].filter((F.col("size") > 0) & (F.col("size") < longest)).select("lang", "phrase")
+        if proposed is not None:
+            failures = failures.join(proposed, ["lang", "phrase"], "left_anti")
+        failures = stage(failures)
+        n_failures = failures.count()
+        if len(wanted) == 1:  # nothing was wanted: an empty bitmap of any size says the same
+            wanted = np.zeros(bits_for(4 * n_failures) // 64, np.uint64)
+        more = wanted | bitmap_of(failures, 64 * len(wanted))
         if (more == wanted).all():  # no border phrase is frequent, or what it opens was counted by false hits
             break
-        proposed, wanted, seen = proposed.unionByName(failures), more, wanted
+        proposed = failures if proposed is None else proposed.unionByName(failures)
+        wanted, seen = more, wanted
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)
     return out
 
 
+def frequent_runs(docs: DataFrame, text: str, lang: str, key: str, least: int, longest: int = 4,
+                  unknown: str = "und", sample: int = SAMPLE) -> DataFrame:
+    """(lang, phrase, size, n) of all phrases that occur `least` times or more, and size 0 with the number of words."""
+    data = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
+    texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(unknown)).alias("lang"), data.alias("text"),
+                        (F.pmod(F.xxhash64(F.col(key), data), F.lit(sample)) == 0).alias("drawn"))
+    lowered = max(1, math.floor(LOWERED * least / sample))
+    drawn = stage(texts.filter("drawn").drop("drawn"))
+    proposed = stage(_closed(drawn, longest - 1, lowered, None).filter("size > 0").select("lang", "phrase"))
+    return _closed(texts.drop("drawn"), longest, least, proposed)
+
+
 def collocations(docs: DataFrame, least: int = 30, most: int | None = 2000, longest: int = 4, text: str = "text",
                  lang: str = "lang", key: str = "doc_id", covered: int = 80, unknown: str = "und") -> DataFrame:
     """Phrases of 2 to `longest` words by language with a, l, r, n, cut, score and rank (the first `most`, all if None).
