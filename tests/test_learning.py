@@ -28,11 +28,6 @@ def test_stacking_separates(separable):
     assert metrics.ranking_metrics(test, "p", "y").first().auc > 0.7
 
 
-def test_out_of_fold_scores_cover_every_row_once(separable):
-    out = learning.out_of_fold_scores(separable, "id", ["f1", "f2"], "y", "p", k=3)
-    assert out.count() == 500 == out.select("id").distinct().count()
-
-
 def test_cox_maximises_the_penalised_likelihood(spark):
     """Exponential lifetimes with hazard exp(2a): coefficient near 2 on `a`, near 0 on `b`, and a flat top."""
     h = lambda s: (F.abs(F.xxhash64("id", F.lit(s))) % 1000) / 1000.0

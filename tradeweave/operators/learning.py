@@ -1,18 +1,21 @@
-"""MLlib models: default, working capital, survival, forecast, shipment risk, stacking."""
+"""MLlib models: default, working capital, survival, forecast, stacking."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeweave.operators import metrics, profile, splits, temporal
@@ -78,6 +81,7 @@ def importances(spark, model: PipelineModel, columns: Sequence[str], n: int = 10
 
 
 # ------------------------------------------------------------------ working capital
+# Inputs and targets of the component models.
 CCC_FEATURES = ["horizon_days", "delta_otif", "delta_lead_time_std", "delta_freight_cost_ratio", "delta_port_congestion",
                 "delta_inventory_turnover"]
 CCC_TARGETS = ["dio_change", "dso_change", "dpo_change"]
@@ -85,8 +89,9 @@ CCC_TARGETS = ["dio_change", "dso_change", "dpo_change"]
 
 def fit_ccc_models(train: DataFrame, rounds: int = 10) -> dict[str, PipelineModel]:
     train = stage(train)
-    return {t: _assembled(CCC_FEATURES, GBTRegressor(labelCol=t, predictionCol=f"pred_{t}", maxDepth=4, maxIter=rounds,
-                                                     stepSize=0.3, seed=SEED)).fit(train) for t in CCC_TARGETS}
+    fits = [_assembled(CCC_FEATURES, GBTRegressor(labelCol=t, predictionCol=f"pred_{t}", maxDepth=4, maxIter=rounds,
+                                                  stepSize=0.3, seed=SEED)) for t in CCC_TARGETS]
+    return dict(zip(CCC_TARGETS, concurrently([partial(f.fit, train) for f in fits])))
 
 
 def predict_ccc(models: dict[str, PipelineModel], requests: DataFrame) -> DataFrame:
@@ -173,6 +178,7 @@ def cox_comparison(df: DataFrame, full: Sequence[str], financial: Sequence[str],
 
 
 # ------------------------------------------------------------------ forecasts
+# Inputs of the forecast.
 FORECAST_FEATURES = ["value_scaled", "roll_mean_7", "roll_mean_30", "roll_std_7", "ewma_7", "month_sin", "month_cos", "exog"]
 
 
@@ -194,57 +200,26 @@ def forecast_quantiles(series: DataFrame, value: str, exog: str, horizon: int =
         back(F.col("prediction") + F.element_at("q", i + 1)).alias(n) for i, n in enumerate(("q10", "q50", "q90"))])
 
 
-# ------------------------------------------------------------------ shipment risk
-SHIPMENT_SIGNALS = ["origin_congestion_index", "destination_congestion_index", "vessel_speed_ratio", "carrier_reliability_score",
-                    "weather_risk_score", "cargo_value_log"]
+# ------------------------------------------------------------------ stacking
+def concurrently(jobs: Sequence[Callable[[], object]]) -> list:
+    """Results of independent fits, run side by side: a fit of many small rounds leaves most cores idle on its own."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(SparkSession.getActiveSession())(job)) for job in jobs]]
 
 
-def shipment_models(shipments: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Delay, damage and discrepancy probabilities and the risk score from one shared, scaled input.
+def fit_stacking(matrix: DataFrame, key: str, columns: Sequence[str], label: str, k: int = 5, rounds: int = 200,
+                 depth: int = 4, step: float = 0.05) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """Boosted meta-learner. Returns the model, out-of-fold train scores (key, label, fold, p) and test scores.
 
-    The eight event tokens are fixed multiples of these six signals, so linear models need the signals only.
+    The k + 1 fits run side by side on one staged table.
     """
-    base = profile.log_zscore(shipments, "cargo_value_usd", "cargo_value_log").select(
-        "shipment_id", *SHIPMENT_SIGNALS, "delayed", "damaged", "doc_discrepancy", "shipment_risk_score")
-    rows = stage(splits.hash_split(base, ["shipment_id"], 80, "shipment"))
-    prep = Pipeline(stages=[VectorAssembler(inputCols=SHIPMENT_SIGNALS, outputCol="raw"),
-                            StandardScaler(inputCol="raw", outputCol="features", withMean=True)])
-    train = rows.filter(F.col("split") == "train")
-    prepared = prep.fit(train)
-    fit_on = prepared.transform(train)
-    out = prepared.transform(rows)
-    labels = ["delayed", "damaged", "doc_discrepancy"]
-    for label in labels:
-        model = LogisticRegression(labelCol=label, regParam=0.001, maxIter=20, probabilityCol=f"prob_{label}",
-                                   rawPredictionCol=f"raw_{label}", predictionCol=f"class_{label}").fit(fit_on)
-        out = model.transform(out).withColumn(f"p_{label}", positive_probability(f"prob_{label}")).drop(
-            f"prob_{label}", f"raw_{label}", f"class_{label}")
-    risk = LinearRegression(labelCol="shipment_risk_score", predictionCol="risk", regParam=0.001, maxIter=20).fit(fit_on)
-    return risk.transform(out).drop("raw", "features"), labels
-
-
-# ------------------------------------------------------------------ stacking
-def out_of_fold_scores(df: DataFrame, key: str, columns: Sequence[str], label: str, out: str, k: int = 5) -> DataFrame:
-    """Every row scored by a model that has not seen it; k fits, one union of disjoint folds."""
-    folded = stage(df.withColumn("fold", splits.fold_of([F.col(key)], k)))
-    result = None
-    for f in range(k):
-        model = fit_logistic(folded.filter(F.col("fold") != f), columns, label)
-        part = score(model, folded.filter(F.col("fold") == f), out).select(key, out)
-        result = part if result is None else result.unionByName(part)
-    return result
-
-
-def fit_stacking(matrix: DataFrame, key: str, columns: Sequence[str], label: str, k: int = 3,
-                 rounds: int = 8) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """Boosted meta-learner. Returns the model, out-of-fold train scores and test scores (key, label, p)."""
     rows = stage(splits.hash_split(matrix, [key], 80, "stack").withColumn("fold", splits.fold_of([F.col(key)], k, "stack-fold")))
     train = rows.filter(F.col("split") == "train")
+    parts = [train.filter(F.col("fold") != f) for f in range(k)] + [train]
+    fits = concurrently([partial(fit_default_classifier, part, columns, label, depth, rounds, step) for part in parts])
     oof = None
-    for f in range(k):
-        model = fit_default_classifier(train.filter(F.col("fold") != f), columns, label, rounds=rounds)
-        part = score(model, train.filter(F.col("fold") == f), "p").select(key, label, "p")
+    for f, model in enumerate(fits[:k]):
+        part = score(model, train.filter(F.col("fold") == f), "p").select(key, label, "fold", "p")
         oof = part if oof is None else oof.unionByName(part)
-    final = fit_default_classifier(train, columns, label, rounds=rounds)
-    test = score(final, rows.filter(F.col("split") == "test"), "p").select(key, label, "p")
-    return final, oof, test
+    test = score(fits[k], rows.filter(F.col("split") == "test"), "p").select(key, label, "p")
+    return fits[k], oof, test

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradeweave.operators import fusion, lc_features, learning, metrics, splits, temporal
+from tradeweave.operators import (forecast, fusion, grouped_fit, lc_features, learning, metrics, shipment_heads, splits,
+                                  temporal)
 from tradeweave.operators.metrics import metric_rows
 from tradeweave.plans.registry import Section
 from tradeweave.plans.relational import entity_vectors, shipment_shape
@@ -53,9 +54,8 @@ def m3(m):
     return learning.importances(m.spark, model, lc_features.ENTITY_FEATURES)
 
 
-@section.add("k8_trained_model_comparison")
-def k8(m):
-    """Financial-only against supply-chain-enhanced model on one split, with the closed-form SC-PD as cross-check."""
+def compared_scores(m):
+    """(default_12m, metric, x): test entities scored by the financial-only and the enhanced model and the closed form."""
     rows = entity_rows(m)
     fin = learning.fit_default_classifier(train_of(rows), lc_features.FINANCIAL_ONLY, LABEL, depth=3)
     full = learning.fit_default_classifier(train_of(rows), lc_features.ENTITY_FEATURES, LABEL, depth=3)
@@ -63,15 +63,23 @@ def k8(m):
         "formula", fusion.supply_chain_adjusted_pd(F.col("fin"), F.col("otif_rate"), F.col("inventory_turnover"),
                                                    fusion.alternative_suppliers(F.col("supplier_concentration_hhi"))))
     from tradeweave.operators.profile import unpivot
-    long = unpivot(scored, ["fin", "enhanced", "formula"], [LABEL])
-    return metrics.ranking_metrics(long, "x", LABEL, ["metric"])
+    return unpivot(scored, ["fin", "enhanced", "formula"], [LABEL])
+
+
+@section.add("k8_trained_model_comparison")
+def k8(m):
+    """Financial-only against supply-chain-enhanced model on one split, with the closed-form SC-PD as cross-check."""
+    return metrics.ranking_metrics(compared_scores(m), "x", LABEL, ["metric"])
+
+
+def ccc_scored(m):
+    rows = splits.hash_split(m.shocks, ["port", "month", "horizon_days"], 80, "ccc")
+    return learning.predict_ccc(learning.fit_ccc_models(train_of(rows)), test_of(rows))
 
 
 @section.add("m5_ccc_component_models")
 def m5(m):
-    rows = splits.hash_split(m.shocks, ["port", "month", "horizon_days"], 80, "ccc")
-    models = learning.fit_ccc_models(train_of(rows))
-    scored = learning.predict_ccc(models, test_of(rows))
+    scored = ccc_scored(m)
     ape = metrics.absolute_percentage_error(F.col("ccc_change"), F.col("pred_ccc_change"), 3.0)
     return metric_rows("ccc", scored.agg(
         F.avg(F.when(F.col("horizon_days") == 30, ape)).alias("mape_30d"), F.avg(ape).alias("mape_all"),
@@ -109,39 +117,74 @@ def m8(m):
     return mape.join(cover, "port")
 
 
+def forecasts(m):
+    def build():
+        long = forecast.long_series(m.series, {"throughput": "throughput_teu", "freight": "freight_rate_usd_feu"},
+                                    "port_congestion_index")
+        return forecast.quantile_forecasts(forecast.forecast_rows(long))
+    return m.staged("forecasts", build)
+
+
+@section.add("m8_multi_horizon_forecast")
+def m8_all(m):
+    """Two series, three horizons, three quantiles, by port: error, cover and pinball loss against the seasonal-naive value."""
+    return forecast.forecast_quality(forecasts(m), ["series", "port", "horizon"])
+
+
+def shipment_scores(m):
+    return m.staged("shipment_head_scores", lambda: shipment_heads.shipment_heads(
+        lc_features.event_tokens(m.shipments), m.shipments))
+
+
 @section.add("m9_shipment_multi_task")
 def m9(m):
-    scored, labels = learning.shipment_models(m.shipments)
-    test = stage(test_of(scored))
-    from tradeweave.operators.profile import unpivot
-    tall = None
-    for label in labels:
-        part = test.select(F.lit(label).alias("task"), F.col(f"p_{label}").alias("p"), F.col(label).alias("y"))
-        tall = part if tall is None else tall.unionByName(part)
-    auc = metrics.ranking_metrics(tall, "p", "y", ["task"])
-    brier = tall.groupBy("task").agg(metrics.brier(F.col("p"), F.col("y")).alias("brier"))
+    """Test-split quality of the three probability heads over pooled event tokens."""
+    test = stage(test_of(shipment_scores(m)).filter(F.col("task") != "risk"))
+    auc = metrics.ranking_metrics(test, "p", "y", ["task"])
+    brier = test.groupBy("task").agg(metrics.brier(F.col("p"), F.col("y")).alias("brier"))
     return auc.join(brier, "task")
 
 
+FOLDS = 5
+
+
+def letter_matrix(m):
+    """Stacked matrix with out-of-fold scores of the fitted default and Cox models, looked up per letter of credit."""
+    def build():
+        from tradeweave.operators import profile
+        entities = stage(profile.zscore(survival_table(m), lc_features.ENTITY_FEATURES).join(m.nodes.select("node_id", LABEL), "node_id"))
+        pd = grouped_fit.out_of_fold_logistic(entities, "node_id", lc_features.ENTITY_FEATURES, LABEL, "pd", FOLDS)
+        hazard = grouped_fit.out_of_fold_hazard(entities, "node_id", lc_features.COX_COVARIATES, "survival_duration_days",
+                                                "survival_event", "hazard", FOLDS)
+        scores = stage(pd.join(hazard, "node_id"))
+        matrix = lc_features.stacked_matrix(m.lc, scores, entity_vectors(m), lc_features.shipment_scores_of(shipment_shape(m.lc)))
+        return matrix.join(m.lc.select("lc_id", "is_default"), "lc_id")
+    return m.staged("letter_matrix", build)
+
+
+def stacked_scores(m):
+    """(lc_id, is_default, fold, p): out-of-fold scores of the train letters, fold null for the test letters."""
+    def build():
+        _, oof, test = learning.fit_stacking(letter_matrix(m), "lc_id", lc_features.LC_FEATURES + lc_features.STACKED_EXTRA,
+                                             "is_default", FOLDS, META_ROUNDS)
+        return oof.unionByName(test.withColumn("fold", F.lit(None).cast("int")))
+    return m.staged("stacked_scores", build)
+
+
+META_ROUNDS = 200
+
+
 @section.add("m11_m12_stacked_default_model")
 def m11(m):
     """Out-of-fold entity scores, looked up per letter of credit, feed the boosted meta-learner."""
-    entities = entity_rows(m).drop("split")
-    pd = learning.out_of_fold_scores(entities, "node_id", lc_features.ENTITY_FEATURES, LABEL, "pd", k=3)
-    hazard = lc_features.entity_scores(m.network_nodes).select("node_id", "hazard")
-    scores = stage(pd.join(hazard, "node_id"))
-    matrix = lc_features.stacked_matrix(m.lc, scores, entity_vectors(m), lc_features.shipment_scores_of(shipment_shape(m.lc)))
-    labelled = matrix.join(m.lc.select("lc_id", "is_default"), "lc_id")
-    columns = lc_features.LC_FEATURES + lc_features.STACKED_EXTRA
-    _, oof, test = learning.fit_stacking(labelled, "lc_id", columns, "is_default", k=2, rounds=5)
-    test = stage(test)
-    oof_auc = metrics.ranking_metrics(oof, "p", "is_default").select(F.col("auc").alias("oof_auc"))
+    scored = stacked_scores(m)
+    test = scored.filter(F.col("fold").isNull())
+    oof_auc = metrics.ranking_metrics(scored.filter(F.col("fold").isNotNull()), "p", "is_default").select(F.col("auc").alias("oof_auc"))
     ranks = metrics.ranking_metrics(test, "p", "is_default").select(F.col("auc").alias("test_auc"), "gini")
     fit = test.agg(metrics.brier(F.col("p"), F.col("is_default")).alias("brier"))
     ece = metrics.expected_calibration_error(test, "p", "is_default")
-    parts = [oof_auc, ranks, fit, ece]
     out = None
-    for p in parts:
+    for p in [oof_auc, ranks, fit, ece]:
         rows = metric_rows("stacking", p)
         out = rows if out is None else out.unionByName(rows)
     return out

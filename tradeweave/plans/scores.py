@@ -86,9 +86,10 @@ def k2(m):
 
 
 @section.add("k3_working_capital_velocity", sql(["shocks"], """
-SELECT port, month, horizon_days, round(((dio_change - s.m1) / s.s1 + (dso_change - s.m2) / s.s2 - (dpo_change - s.m3) / s.s3) / 3, 6)
- AS velocity FROM shocks, (SELECT avg(dio_change) AS m1, stddev_samp(dio_change) AS s1, avg(dso_change) AS m2, stddev_samp(dso_change) AS s2,
- avg(dpo_change) AS m3, stddev_samp(dpo_change) AS s3 FROM shocks) s"""))
+SELECT port, month, horizon_days, round(((dio_change - avg(dio_change) OVER w) / stddev_samp(dio_change) OVER w
+ + (dso_change - avg(dso_change) OVER w) / stddev_samp(dso_change) OVER w
+ - (dpo_change - avg(dpo_change) OVER w) / stddev_samp(dpo_change) OVER w) / 3, 6) AS velocity
+FROM shocks WINDOW w AS (PARTITION BY 1)"""))
 def k3(m):
     z = zscore(m.shocks, ["dio_change", "dso_change", "dpo_change"])
     return z.select("port", "month", "horizon_days", settle(fusion.working_capital_velocity(
