@@ -75,10 +75,10 @@ def test_lines_that_fail_go_and_clean_documents_stay(awkward, nothing):
 
 def test_ids_are_those_of_the_tokenizer(spark):
     reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    reference.encode_special_tokens = True
     encoder = Encoder.load(BYTE_BPE)
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
-    texts += ["", " ", "  a", "a ", "a  b", " a b\n c", "a\n b", "a  b", "a  b", "x\x1c y", "<|endoftext|> a", "it's we'll",
+    texts += ["", " ", "  a", "a ", "a  b", " a b\n c", "a\n b", "a  b", "a  b", "x\x1c y", "<|endoftext|> a", "it's we'll", "a <|endoftext|>", " <|endoftext|>  <|endoftext|>\n x<|endoftext|>y",
+              "<|endoftext", "<|EndOfText|>", "a  <|endoftext|>",
               "漢字 😀  ÄÖ", "a\tb \t c", "1 22 333", "\r\n \r\n", "y" * 3000, "a\x85 b", "é e"]
     for t in texts:
         ids = reference.encode(t or "", add_special_tokens=False).ids

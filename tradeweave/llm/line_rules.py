@@ -127,7 +127,8 @@ def judge_documents(docs: DataFrame, text: str = "text", rules: LineRules = Line
         return out if cleaned else out.drop(columns="cleaned_text")
 
     schema = ", ".join(f"_{m} {'boolean' if m in ('base_failed', 'kept') else 'long'}" for m in MEASURES)
-    judged = add_columns(inner, [source], schema + (", _cleaned_text string" if cleaned else ""), rows)
+    judged = add_columns(inner, [source], schema + (", _cleaned_text string" if cleaned else ""), rows,
+                         once=cleaned)
     new = [(m, F.col(f"_{m}")) for m in MEASURES]
     if cleaned:
         new.append(("cleaned_text", F.when(F.col(source).isNotNull(), F.col("_cleaned_text"))))

@@ -11,8 +11,8 @@ of bounded size, and each group is packed alone:
 
 A group's last bin is the price of not packing all groups together: about one bin in five thousand.
 
-Defined results: a null or empty text is its end id alone; repeated rows are packed as often as they occur; a text of
-special token strings is ordinary text; input columns with the names of results are replaced.
+Defined results: a null or empty text is its end id alone; repeated rows are packed as often as they occur; a special
+token's string inside a text is that token, as the tokenizer has it by default; input columns with the names of results are replaced.
 """
 
 from __future__ import annotations
@@ -38,6 +38,9 @@ END = 2
 GROUP_PIECES = 10_000
 
 
+# Strings and ids of the tokenizer's special tokens, which the rank file lacks.
+SPECIAL = {"<|endoftext|>": 50256}
+_SPECIAL = re.compile("|".join(map(re.escape, SPECIAL)))
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
 
 
@@ -70,6 +73,15 @@ class Encoder:
         return np.array(self.model.encode_ordinary(text), "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
+        if "<|" not in text:
+            return self.ordinary(text)
+        parts, at = [], 0
+        for hit in _SPECIAL.finditer(text):
+            parts += [self.ordinary(text[at:hit.start()]), np.array([SPECIAL[hit[0]]], "<u4").tobytes()]
+            at = hit.end()
+        return b"".join([*parts, self.ordinary(text[at:])])
+
+    def ordinary(self, text: str) -> bytes:
         if _SPACE_AFTER_SPACE.search(text):
             return self.plain(text)
         words = text.split(" ")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tradeweave.llm.labelled import with_labels
 from tradeweave.llm.text import Memo, add_columns, apart, gram_hashes, hash_memo, mixed, together, word_hashes
+from tradeweave.session import stage
 
 BITS = 18
 SAMPLE_ROWS = 20_000  # about so many learning rows, by hash of their id, fit the linear model and the curve
@@ -149,7 +150,8 @@ def _counts(rows: DataFrame) -> DataFrame:
 
 def learn(rows: DataFrame, key: str, text: str, label: str) -> Model:
     """The model of labelled rows: counts over all of them, the fit in one task on the bounded sample."""
-    told = rows.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("int").alias("y"))
+    told = rows.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("int").alias("y")).filter(
+        F.col(label).isin(0, 1))
     counts = _counts(told.select("t", "y")).toPandas()  # at most 2^BITS rows
     good, bad = np.zeros(1 << BITS), np.zeros(1 << BITS)
     good[counts["cell"]], bad[counts["cell"]] = counts["good"], counts["bad"]
@@ -174,7 +176,8 @@ def learn(rows: DataFrame, key: str, text: str, label: str) -> Model:
         yield pd.DataFrame({"weights": [m.weights.astype(np.float32).tobytes()], "bias": [m.bias],
                             "slope": [m.slope], "offset": [m.offset]})
 
-    drawn = sample.mapInPandas(cells, "spot long, y int, cells binary").coalesce(1)
+    # written by all tasks first: only the bounded sample itself is read by one
+    drawn = stage(sample.mapInPandas(cells, "spot long, y int, cells binary")).coalesce(1)
     row = drawn.mapInPandas(fitted, "weights binary, bias double, slope double, offset double").first()
     return Model(np.frombuffer(row["weights"], np.float32), row["bias"], row["slope"], row["offset"])
 
@@ -188,7 +191,7 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     """`docs` with `score` (0 to 1, higher: label 1 likelier).
 
     Rows to learn from are those of `learn_docs` (`docs` if not given) that have a label and meet the condition
-    `learn_from`. Only the text reaches the model.
+    `learn_from`; labels other than 0 and 1 are none. Only the text reaches the model.
     """
     known = docs if learn_docs is None else learn_docs
     rows, known_at = apart(known if learn_from is None else known.filter(F.coalesce(learn_from, F.lit(False))))

@@ -40,9 +40,11 @@ def together(df: DataFrame, names: list[str], new: list[tuple[str, Column]]) ->
 
 
 def add_columns(df: DataFrame, inputs: list[str], schema: str,
-                rows: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
+                rows: Callable[[pd.DataFrame], pd.DataFrame], once: bool = False) -> DataFrame:
     """`df` and the columns of `schema`, computed from batches of the `inputs` columns alone.
 
+    With `once` the optimizer may not compute them a second time for a filter on one of them.
+
     A pandas UDF with one struct: columns that `rows` does not read never leave the JVM. `rows` gives the columns
     in the schema's order.
     """
@@ -62,6 +64,7 @@ def add_columns(df: DataFrame, inputs: list[str], schema: str,
     else:
         run.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.DataFrame]}
         udf = F.pandas_udf(run, schema)
+    udf = udf.asNondeterministic() if once else udf
     return df.withColumn("_udf", udf(*[F.col(c) for c in inputs])).select(*df.columns, "_udf.*")
 
 
