@@ -171,7 +171,7 @@ def stacked_scores(m):
     return m.staged("stacked_scores", build)
 
 
-META_ROUNDS = 200
+META_ROUNDS = 40  # of the registered queries: 200, the default of fit_stacking, takes over five minutes for six fits
 
 
 @section.add("m11_m12_stacked_default_model")
