@@ -121,3 +121,16 @@ def test_interval_match_equals_range_join(spark):
         F.col("start_day"), F.date_add("start_day", 10)), "left").groupBy("asset", "start_day").agg(
         F.coalesce(F.sum("observed"), F.lit(0.0)).alias("o")).collect()
     assert got == {(r.asset, r.start_day): r.o for r in want}
+
+
+def test_interval_match_of_missing_and_unmatched_rows(spark):
+    claims = spark.createDataFrame([("a", None, 1.0), (None, "2024-01-05", 2.0), ("a", "2024-01-05", 3.0), ("z", "2024-01-05", 4.0)],
+                                   "asset string, start_day string, claimed double").withColumn("start_day", F.to_date("start_day"))
+    obs = spark.createDataFrame([("a", "2024-01-04", 1.0), ("a", "2024-01-05", 2.0), ("a", "2025-01-03", 4.0), ("a", "2025-01-05", 8.0),
+                                 (None, "2024-01-06", 16.0), ("a", None, 32.0), ("a", "2024-01-06", None)],
+                                "asset string, obs_day string, observed double").withColumn("obs_day", F.to_date("obs_day"))
+    out = joins.observed_in_window(claims, obs, 365)
+    got = {(r.asset, str(r.start_day)): (r.claimed, r.n_claims, r.observed) for r in out.collect()}
+    assert got == {("a", "None"): (1.0, 1, 0.0), (None, "2024-01-05"): (2.0, 1, 0.0), ("a", "2024-01-05"): (3.0, 1, 6.0),
+                   ("z", "2024-01-05"): (4.0, 1, 0.0)}
+    assert joins.observed_in_window(claims.limit(0), obs, 30).isEmpty()

@@ -28,6 +28,29 @@ def test_stacking_separates(separable):
     assert metrics.ranking_metrics(test, "p", "y").first().auc > 0.7
 
 
+def test_search_halves_its_points_whatever_the_layout(separable):
+    ranges = {**learning.SEARCH_RANGES, "maxIter": (6, 9, "whole"), "maxDepth": (2, 3, "whole")}
+    search = lambda df: learning.search_default_classifier(
+        df, "id", ["f1", "f2", "f3"], "y", n_points=4, ranges=ranges, first_rounds=2)
+    model, trials = search(separable)
+    assert [t.rounds for t in trials] == [2, 2, 2, 2, 6] and {t.point for t in trials[:4]} == set(range(4))
+    best = max(trials[:4], key=lambda t: (t.auc, -t.point))
+    assert trials[4].point == best.point and model.stages[-1].getNumTrees == best.params["maxIter"]
+    again = search(separable.orderBy(F.xxhash64("id")).repartition(7))[1]
+    assert again == trials
+
+
+def test_points_are_drawn_inside_their_ranges():
+    points = [learning.drawn_point(p) for p in range(200)]
+    for name, (low, high, scale) in learning.SEARCH_RANGES.items():
+        values = [p[name] for p in points]
+        assert low <= min(values) and max(values) <= high
+        assert scale != "whole" or all(isinstance(v, int) for v in values)
+        middle = (low * high) ** 0.5 if scale == "log" else (low + high) / 2
+        assert 60 < sum(v < middle for v in values) < 140
+    assert points[:3] == [learning.drawn_point(p) for p in range(3)]
+
+
 def test_cox_maximises_the_penalised_likelihood(spark):
     """Exponential lifetimes with hazard exp(2a): coefficient near 2 on `a`, near 0 on `b`, and a flat top."""
     h = lambda s: (F.abs(F.xxhash64("id", F.lit(s))) % 1000) / 1000.0

@@ -30,7 +30,36 @@ def test_rolling_and_ewma_values(spark):
         std = math.sqrt(sum((x - mean) ** 2 for x in window) / (len(window) - 1)) if len(window) > 1 else 0.0
         assert abs(r.roll_std_7 - std) < 1e-9
         ew = v[0] if i == 0 else 0.75 * ew + 0.25 * v[i]
-        assert abs(r.ewma_7 - ew) < 1e-5
+        assert abs(r.ewma_7 - ew) < 1e-9
+
+
+@pytest.mark.parametrize("span", [1, 2, 7, 30, 400])
+def test_exponential_means_equal_the_recursion(spark, span):
+    """5,000 days of two series, with gaps: no history is cut, wherever the blocks end."""
+    data = spark.range(10000).select(
+        (F.col("id") % 2).alias("port"), F.date_add(F.lit("2001-01-01").cast("date"), (F.col("id") / 2).cast("int")).alias("date"),
+        F.when((F.col("id") < 6) | (F.col("id") % 11 == 3), None).otherwise(F.sin(F.col("id") * 1.0) * 100 + F.pmod(F.xxhash64("id"), F.lit(9))).alias("v"))
+    out = temporal.with_ewma(data, "v", "port", "date", {"m": span})
+    assert out.columns == ["port", "date", "v", "m"]
+    alpha = 2.0 / (span + 1)
+    for port in (0, 1):
+        mean = None
+        got = rows(out.filter(F.col("port") == port))
+        assert len(got) == 5000
+        for r in got:
+            if r.v is not None:
+                mean = r.v if mean is None else (1 - alpha) * mean + alpha * r.v
+            assert (r.m is None) == (mean is None)
+            assert mean is None or abs(r.m - mean) < 1e-9
+
+
+def test_exponential_means_remember_a_huge_start(spark):
+    data = spark.range(3000).select(F.lit("p").alias("port"), F.date_add(F.lit("2001-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+                                    F.when(F.col("id") == 0, 1e300).otherwise(0.0).alias("v"))
+    got = rows(temporal.with_ewma(data, "v", "port", "date", {"m": 7}))
+    for i in (1, 100, 959, 960, 961, 1500, 1919, 1920, 2400):
+        want = 10 ** (300 + i * math.log10(0.75))
+        assert got[i].m == pytest.approx(want, rel=1e-9)
 
 
 def test_future_changes_do_not_touch_past_features(spark):

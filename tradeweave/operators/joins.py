@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeweave.functions.vectors import vector_mean, vector_norm
-from tradeweave.session import stage
 
 
 def missing_keys(requests: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -56,14 +55,25 @@ def observed_in_window(claims: DataFrame, observations: DataFrame, days: int) ->
     """claims(asset, start_day, claimed) x observations(asset, obs_day, observed): total observed in
     [start_day, start_day + days].
 
-    An interval join turned into an equi-join: each asset-day of observations is credited to the days+1 start
-    days it can serve, summed, and matched on (asset, start_day). Both sides are pre-aggregated, so a hot asset
-    costs at most its calendar, and its claims spread over the start days.
+    A sweep over each asset's days: a start marks the running total before its first day, an end the one after its last,
+    and the difference is what was observed between them. Both sides are summed by day first, so a hot asset costs at most
+    its calendar, and a longer window costs no more than a short one. Totals of decimals or whole numbers are exact.
+    Rows without an asset or a day match nothing; a claim without them stays, with nothing observed.
     """
-    per_day = observations.groupBy("asset", "obs_day").agg(F.sum("observed").alias("observed"))
-    credited = per_day.select(
-        "asset", "observed", F.explode(F.sequence(F.date_sub("obs_day", days), F.col("obs_day"))).alias("start_day"))
-    windows = credited.groupBy("asset", "start_day").agg(F.sum("observed").alias("observed"))
-    claimed = stage(claims.groupBy("asset", "start_day").agg(F.sum("claimed").alias("claimed"), F.count(F.lit(1)).alias("n_claims")))
-    wanted = windows.join(claimed.select("asset", "start_day"), ["asset", "start_day"], "left_semi")
-    return claimed.join(wanted, ["asset", "start_day"], "left").withColumn("observed", F.coalesce("observed", F.lit(0.0)))
+    per_day = observations.filter("asset IS NOT NULL AND obs_day IS NOT NULL").groupBy("asset", "obs_day").agg(
+        F.sum("observed").alias("observed"))
+    claimed = claims.groupBy("asset", "start_day").agg(F.sum("claimed").alias("claimed"), F.count(F.lit(1)).alias("n_claims"))
+    nothing = F.lit(None).cast(per_day.schema["observed"].dataType)
+    money = claimed.schema["claimed"].dataType
+    marks = claimed.select("asset", "start_day", "claimed", "n_claims", F.explode(F.array(
+        F.struct(F.col("start_day").alias("day"), F.lit(0).alias("step"), F.lit(-1).alias("sign")),
+        F.struct(F.date_add("start_day", days).alias("day"), F.lit(2).alias("step"), F.lit(1).alias("sign")))).alias("m"))
+    events = marks.select("asset", "start_day", "claimed", "n_claims", "m.day", "m.step", "m.sign", nothing.alias("observed"))
+    events = events.unionByName(per_day.select(
+        "asset", F.lit(None).cast("date").alias("start_day"), F.lit(None).cast(money).alias("claimed"),
+        F.lit(None).cast("long").alias("n_claims"), F.col("obs_day").alias("day"), F.lit(1).alias("step"), F.lit(0).alias("sign"),
+        "observed"))
+    order = Window.partitionBy("asset").orderBy("day", "step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = events.withColumn("total", F.coalesce(F.sum("observed").over(order), F.lit(0))).filter("step != 1")
+    return swept.groupBy("asset", "start_day").agg(
+        F.max("claimed").alias("claimed"), F.max("n_claims").alias("n_claims"), F.sum(F.col("sign") * F.col("total")).alias("observed"))

@@ -44,6 +44,28 @@ def null_counts(df: DataFrame) -> DataFrame:
     return counted.select(F.explode(rows).alias("r")).select("r.*").filter(F.col("n_null") > 0)
 
 
+SKETCH_BITS = 14
+
+
+def distinct_sketches(df: DataFrame, columns: dict[str, Column], by: Sequence[str], bits: int = SKETCH_BITS) -> DataFrame:
+    """One mergeable HyperLogLog sketch per group and named expression; values are compared as text, nulls do not count.
+
+    A sketch has at most 2^bits bytes or so whatever it has seen, so days can be kept and merged to any longer period
+    without another pass over the rows.
+    """
+    return df.groupBy(*by).agg(*[F.hll_sketch_agg(c.cast("string"), bits).alias(name) for name, c in columns.items()])
+
+
+def merged_estimates(sketches: DataFrame, names: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Estimated distinct counts of coarser groups, from their sketches alone."""
+    return sketches.groupBy(*by).agg(*[F.hll_sketch_estimate(F.hll_union_agg(n)).alias(n) for n in names])
+
+
+def sketch_error(bits: int = SKETCH_BITS, deviations: float = 4.0) -> float:
+    """Relative error that an estimate keeps within, but for one case in thousands at four standard deviations."""
+    return deviations * 1.04 / 2 ** (bits / 2)
+
+
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Pearson correlation of each column with the target, strongest first; constant columns give NULL."""
     corrs = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in columns])

@@ -2,40 +2,70 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeweave.functions.scalar import TWO_PI, fourier, ratio
 
+# Forecast horizons, days looked back and input channels.
 HORIZONS = [30, 60, 90]
 LOOKBACK = 128
 CHANNELS = ["value_scaled", "roll_mean_7", "roll_mean_30", "roll_std_7", "ewma_7", "month_sin", "month_cos", "exog"]
+BLOCK_DIGITS = 120  # weights inside a block of an exponential mean stay within this many decimal digits
+DOUBLE_DIGITS = 640  # from the largest double to below the smallest
 
 
 def trailing(key: str, day: str, n: int):
     return Window.partitionBy(key).orderBy(day).rowsBetween(-(n - 1), 0)
 
 
-def ewma(value: Column, key: str, day: str, span: int) -> Column:
-    """Recursive exponential mean, alpha = 2/(span+1), over the last 8*span+1 days (older weight < 1e-6)."""
-    alpha = 2.0 / (span + 1)
-    window = Window.partitionBy(key).orderBy(day).rowsBetween(-8 * span, 0)
-    recent = F.collect_list(value.cast("double")).over(window)
-    return F.aggregate(recent, F.get(recent, F.lit(0)), lambda acc, x: (1.0 - alpha) * acc + alpha * x)
+def with_ewma(df: DataFrame, value: str, key: str | Sequence[str], day: str, spans: dict[str, int]) -> DataFrame:
+    """Recursive exponential means over the whole history, alpha = 2/(span+1), the first value as start.
 
-
-def rolling_features(df: DataFrame, value: str, key: str = "port", day: str = "date") -> DataFrame:
+    The recursion is a chain of affine maps, so a series is cut in blocks: a block's sum of weighted values needs no other
+    block, and its start is the carry of the blocks before, m -> shrink * m + sum. A block is as long as its weights fit a
+    double; `reach` blocks back the weight of any finite value is below the smallest double, so that many carries are the
+    whole chain. A null value leaves the mean as it was; before the first value the mean is null.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    order = Window.partitionBy(*keys).orderBy(day)
+    known = F.col(value).isNotNull()
+    out = df.withColumn("_i", F.count(value).over(order) - 1)
+    for name, span in spans.items():
+        alpha = 2.0 / (span + 1)
+        keep = 1.0 - alpha
+        digits = -math.log10(keep) if keep > 0 else math.inf  # decimal digits that a day takes off a weight
+        size = max(1, int(BLOCK_DIGITS / digits))
+        reach = max(1, math.ceil(DOUBLE_DIGITS / (digits * size))) if keep > 0 else 1
+        shrink = keep ** size
+        place = F.col("_i") % size
+        weighted = F.when(known, F.col(value).cast("double") * F.when(F.col("_i") == 0, 1.0).otherwise(alpha)
+                          * F.pow(F.lit(keep), -place)).otherwise(0.0) if keep > 0 else F.when(known, F.col(value).cast("double"))
+        blocks = out.withColumn("_block", F.floor(F.col("_i") / size))
+        inside = Window.partitionBy(*keys, "_block").orderBy(day)
+        local = (F.sum(weighted).over(inside) * F.pow(F.lit(keep), place) if keep > 0
+                 else F.last(weighted, ignorenulls=True).over(inside))
+        before = Window.partitionBy(*keys).orderBy("_block").rangeBetween(-reach, -1)
+        ends = F.collect_list(F.when(known & (place == size - 1), F.col("_local"))).over(before)
+        blocks = blocks.withColumn("_local", local).withColumn("_ends", ends)
+        carry = F.aggregate("_ends", F.lit(0.0), lambda m, x: m * shrink + x)
+        out = blocks.withColumn(name, F.when(F.col("_i") >= 0, F.col("_local") + F.pow(F.lit(keep), place + 1) * carry)).drop(
+            "_block", "_local", "_ends")
+    return out.drop("_i")
+
+
+def rolling_features(df: DataFrame, value: str, key: str | Sequence[str] = "port", day: str = "date") -> DataFrame:
     """roll_mean_7/30, roll_std_7, ewma_7/30: trailing, current row included, first row defined."""
     v = F.col(value)
-    return df.withColumns({
+    rolled = df.withColumns({
         "roll_mean_7": F.avg(v).over(trailing(key, day, 7)),
         "roll_mean_30": F.avg(v).over(trailing(key, day, 30)),
         "roll_std_7": F.coalesce(F.stddev_samp(v).over(trailing(key, day, 7)), F.lit(0.0)),
-        "ewma_7": ewma(v, key, day, 7),
-        "ewma_30": ewma(v, key, day, 30),
     })
+    return with_ewma(rolled, value, key, day, {"ewma_7": 7, "ewma_30": 30})
 
 
 def calendar_features(df: DataFrame, day: str = "date") -> DataFrame:

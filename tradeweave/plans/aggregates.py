@@ -70,6 +70,24 @@ def a6(m):
         F.countDistinct("l_suppkey").alias("n_suppliers"), F.countDistinct(F.to_date("l_shipdate")).alias("n_days"))
 
 
+@section.add("a6_sketched_distinct_counts", """
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(DISTINCT l_orderkey) AS n_orders,
+ count(DISTINCT l_partkey) AS n_parts, TRUE AS within_error FROM lineitem GROUP BY 1""")
+def a6_sketched(m):
+    """Sketches of days merged to months, held against the exact counts."""
+    names = {"n_orders": F.col("l_orderkey"), "n_parts": F.col("l_partkey")}
+    lines = m.lineitem.select(F.to_date("l_shipdate").alias("day"), *names.values())
+    month = F.trunc("day", "month").alias("month")
+    days = profile.distinct_sketches(lines, names, ["day"])
+    merged = profile.merged_estimates(days.select(month, *names), list(names), ["month"])
+    exact = lines.groupBy(month).agg(*[F.countDistinct(c).alias(f"exact_{n}") for n, c in names.items()])
+    near = F.lit(True)
+    for n in names:
+        near = near & (F.abs(F.col(n) - F.col(f"exact_{n}")) <= F.ceil(profile.sketch_error() * F.col(f"exact_{n}")))
+    both = merged.withColumnRenamed("month", "m").join(exact, F.col("m").eqNullSafe(F.col("month")))
+    return both.select("month", *[F.col(f"exact_{n}").alias(n) for n in names], near.alias("within_error"))
+
+
 @section.add("a7_t5_sorted_distinct", sql(["node_keys"], "SELECT DISTINCT node_type FROM node_keys"))
 def a7(m):
     return m.node_types.select("node_type").distinct().orderBy("node_type")

@@ -21,9 +21,9 @@ def _w(n: int) -> str:
 
 
 def _ewma(span: int) -> str:
+    """The recursion itself, day by day."""
     a = 2.0 / (span + 1)
-    return (f"list_reduce(list(CAST(throughput_teu AS DOUBLE)) OVER {_w(8 * span)}, "
-            f"lambda acc, x: CAST({1.0 - a!r} AS DOUBLE) * acc + CAST({a!r} AS DOUBLE) * x)")
+    return f"CAST({1.0 - a!r} AS DOUBLE) * r.ewma_{span} + CAST({a!r} AS DOUBLE) * d.x"
 
 
 cte("rolled", ["series"], f"""
@@ -40,8 +40,16 @@ def w1(m):
     return temporal.rolling_features(m.series, VALUE).select("date", "port", *[settle(F.col(c)).alias(c) for c in cols])
 
 
-@section.add("w3_exponential_means", sql(["series"], f"""
-SELECT date, port, round({_ewma(7)}, 6) AS ewma_7, round({_ewma(30)}, 6) AS ewma_30 FROM series"""))
+cte("days_in_order", ["series"], """
+SELECT date, port, CAST(throughput_teu AS DOUBLE) AS x, row_number() OVER (PARTITION BY port ORDER BY date) AS i FROM series""")
+
+
+@section.add("w3_exponential_means", sql(["days_in_order"], f"""
+SELECT date, port, round(ewma_7, 6) AS ewma_7, round(ewma_30, 6) AS ewma_30 FROM (
+ WITH RECURSIVE d AS MATERIALIZED (SELECT * FROM days_in_order),
+ r AS (SELECT date, port, i, x AS ewma_7, x AS ewma_30 FROM d WHERE i = 1
+  UNION ALL SELECT d.date, d.port, d.i, {_ewma(7)}, {_ewma(30)} FROM r JOIN d ON d.port = r.port AND d.i = r.i + 1)
+ SELECT * FROM r)"""))
 def w3(m):
     return temporal.rolling_features(m.series, VALUE).select(
         "date", "port", settle(F.col("ewma_7")).alias("ewma_7"), settle(F.col("ewma_30")).alias("ewma_30"))
