@@ -75,3 +75,12 @@ def test_repeated_and_awkward_rows(spark, awkward, nothing):
     for _, apply in P.STAGES:
         empty = apply(spark, empty, DATA)
     assert empty.count() == 0 and F is not None
+
+
+def test_null_and_repeated_ids_leave_one_document_of_a_group(spark):
+    x, y = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(None, x), (5, x), (None, ""), (None, y), (None, y + " end"), (7, "other words of another text here"), (7, x + " more"), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in P.near_duplicates(spark, docs.repartition(3), DATA).collect())
+    assert got[0] == (0, "") and got[1][1] in (y, y + " end")
+    assert got[2:] == [(5, x), (7, "other words of another text here")]

@@ -1,10 +1,12 @@
 """WARC, line rules, packing, sharding and search against plain versions."""
 
+import gzip
 import hashlib
 import re
 import zlib
 
 import numpy as np
+import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -14,7 +16,7 @@ from tradeweave.llm.line_rules import LineRules, judge, judge_documents
 from tradeweave.llm.packing import Encoder, LocalSearch, best_fit, pack, pack_group, pieces_of
 from tradeweave.llm.sharding import communication_matrix, shard_sizes, shuffle_into_shards
 from tradeweave.llm.topk import top_k
-from tradeweave.llm.warc import archive_and_read, parse_archive, records
+from tradeweave.llm.warc import archive_and_read, parse_archive, read_records, records, resolve_revisits, unpacked
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -73,6 +75,30 @@ def test_lines_that_fail_go_and_clean_documents_stay(awkward, nothing):
     assert judge_documents(nothing).count() == 0
 
 
+def test_clean_prose_that_holds_a_phrase_stays():
+    clean = ["In spring they could spread more seed over the field by hand than any machine of that time could",
+             "Most of the cars that are sold here are now powered by electricity from the wind parks off the coast",
+             "She liked to read more books about the sea than anyone else in the whole village ever did"]
+    for text in clean:
+        assert judge(text, LineRules())[6] and judge(text, LineRules())[8] == text
+    for line in ("Click here to read more", "All rights reserved 2020 Example", "Privacy Policy and Terms of Service",
+                 "Subscribe to our newsletter today"):
+        assert judge("\n".join([*clean, line]), LineRules())[8] == "\n".join(clean)
+
+
+def test_archives_of_many_gzip_members(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", "body %d " % (i // 3) * 300) for i in range(6)], "page_id long, url string, html string")
+    whole = [r["value"] + "\r\n\r\n" for r in records(pages).collect()]
+    packed = b"".join(gzip.compress(r.encode()) for r in whole)
+    (tmp_path / "by_record.warc.gz").write_bytes(packed + bytes(512))
+    got = resolve_revisits(read_records(spark, str(tmp_path))).collect()
+    assert sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in got) == [
+        (str(i), *(("response", None) if i in (2, 5) else ("revisit", str(i // 3 * 3 + 2)))) for i in range(6)]
+    assert all(r["payload_bytes"] == 2100 for r in got)
+    with pytest.raises(ValueError):
+        unpacked(packed[:-20])
+
+
 def test_ids_are_those_of_the_tokenizer(spark):
     reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     encoder = Encoder.load(BYTE_BPE)

@@ -18,7 +18,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, cluster) of every linked node; the cluster is its least node. `links` has a and b, in any order.
 
     Rounds grow with the logarithm of the longest chain. A hub is a hot join key: its least neighbour is a partial
-    minimum and its links are split by the adaptive join.
+    minimum and its links are split by the adaptive join. Raises if `most_rounds` rounds do not end it.
     """
     def told(edges: DataFrame) -> tuple:
         return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -37,5 +37,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components are unfinished after {most_rounds} rounds")
     found = edges.groupBy("a").agg(F.min("b").alias("cluster")).withColumnRenamed("a", "node")
     return found.union(found.select("cluster").distinct().select(F.col("cluster").alias("node"), "cluster"))

@@ -45,13 +45,14 @@ class LineRules:
     min_letter_chars: float = 0.5    # punctuation: least share of characters that are letters
     min_separators: int = 3          # navigation: so many stand-alone separators, and
     max_separator_gap: float = 4.0   # ... no more than so many words to each of them
-    boilerplate_words: int = 30      # boilerplate: a phrase counts against a line of at most so many words
+    boilerplate_words: int = 30      # boilerplate: phrases count against a line of at most so many words
+    min_boilerplate: float = 0.3     # ... when they make up this share of its words
     max_lost_words: float = 0.3      # document: share of words in failed lines
 
 
 _MARKED = regex.compile(rb"[!?*#%&$|<>~^=_+]{2,}$")
 _SEPARATORS = {b"|", b"||", b"\xc2\xbb", b"\xc2\xb7", b"\xe2\x80\xa2", b">", b">>", b"/", b"::"}
-_BOILERPLATE = regex.compile("|".join(map(regex.escape, BOILERPLATE)))
+_BOILERPLATE = regex.compile(r"(?<!\w)(?:" + "|".join(map(regex.escape, BOILERPLATE)) + r")(?!\w)")
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -69,7 +70,10 @@ def line_fails(line: str, found: list[bytes], rules: LineRules) -> bool:
     separators = sum(1 for w in found if w in _SEPARATORS)
     if separators >= rules.min_separators and n <= rules.max_separator_gap * separators:
         return True
-    return n <= rules.boilerplate_words and _BOILERPLATE.search(line.lower()) is not None
+    if n > rules.boilerplate_words:
+        return False
+    furniture = sum(phrase.count(" ") + 1 for phrase in _BOILERPLATE.findall(line.lower()))
+    return furniture > 0 and furniture >= rules.min_boilerplate * n
 
 
 def repeated_words(found: list[bytes]) -> int:

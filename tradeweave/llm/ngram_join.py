@@ -24,7 +24,7 @@ own texts; a null id is never the smallest while another is there; other columns
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeweave.llm.components import components
-from tradeweave.llm.text import Memo, apart, gram_hashes, hash_memo, word_hashes
+from tradeweave.llm.text import Memo, apart, hash_memo, run_hashes, spread_join, word_hashes
 from tradeweave.session import stage
 
 GRAM = 5
@@ -47,17 +47,41 @@ CENTRES = 8  # that members of a large leaf meet before all that are still apart
 BROADCAST_ROWS = 1_000_000  # ids, 8 bytes each; more meet in a shuffle
 SLICE_BITS = 16
 BITMAP_BITS = 29  # of the bitmap of shared shingles at most: 64 MB
+SLAB_WORDS = 20_000
+_FIRST = np.array([True])
 
 
 def shingles(text: str | None, memo: Memo) -> np.ndarray:
     """Ascending distinct hashes of a text's shingles."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return np.empty(0, np.uint64)
+    return next(shingle_sets([text], memo))
+
+
+def shingle_sets(texts: Iterable[str | None], memo: Memo) -> Iterator[np.ndarray]:
+    """`shingles` of each text; texts are hashed together in slabs of some ten thousand words, or one by one if longer."""
+    slab, sizes, held = [], [], 0
+    for text in texts:
+        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+        slab += words
+        sizes.append(len(words))
+        held += len(words)
+        if held >= SLAB_WORDS:
+            yield from _slab_sets(slab, sizes, memo)
+            slab, sizes, held = [], [], 0
+    yield from _slab_sets(slab, sizes, memo)
+
+
+def _slab_sets(words: list[bytes], sizes: list[int], memo: Memo) -> Iterator[np.ndarray]:
     hashes = word_hashes(words, memo)
-    if len(words) < GRAM:
-        return np.array([xxhash.xxh3_64_intdigest(hashes.tobytes(), len(words))], np.uint64)
-    return np.unique(gram_hashes(hashes, GRAM))
+    runs, start = run_hashes(hashes, GRAM), 0
+    for size in sizes:
+        if size >= GRAM:
+            found = np.sort(runs[start:start + size - GRAM + 1])
+            yield found[np.concatenate((_FIRST, found[1:] != found[:-1]))]
+        elif size:
+            yield np.array([xxhash.xxh3_64_intdigest(hashes[start:start + size].tobytes(), size)], np.uint64)
+        else:
+            yield np.empty(0, np.uint64)
+        start += size
 
 
 def node_of(found: np.ndarray) -> int:
@@ -117,8 +141,8 @@ def shingle_order(docs: DataFrame, text: str) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo, sums = hash_memo(), np.zeros(cells, np.int64)
         for batch in batches:
-            for t in batch["t"]:
-                np.add.at(sums, (shingles(t, memo) >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
+            for found in shingle_sets(batch["t"], memo):
+                np.add.at(sums, (found >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
         used = np.flatnonzero(sums.reshape(-1, part).any(1))
         yield pd.DataFrame({"part": used.astype(np.int32), "sums": [
             sums.reshape(-1, part)[u].astype(np.int32).tobytes() for u in used]})
@@ -137,15 +161,14 @@ def shingle_order(docs: DataFrame, text: str) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc, spot, node, n and, once for each node and task, its prefix and points. Written once, read several times."""
+    """doc, spot, body (hash of the text), node, n and, once for each node and task, its prefix and points. Written once, read several times."""
     order = docs.sparkSession.sparkContext.broadcast(shingle_order(docs, text))
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo, seen = hash_memo(), set()
         for batch in batches:
             out = []
-            for t in batch["t"]:
-                found = shingles(t, memo)
+            for found in shingle_sets(batch["t"], memo):
                 n, node = len(found), node_of(found)
                 if not n or node in seen:
                     out.append((node, n, None, None, None))
@@ -154,11 +177,12 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 common = order.value[(found >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
                 first = found[np.argsort(common, kind="stable")][:prefix_length(n)]
                 out.append((node, n, first.astype(np.int64), point(found, point_bits(n, 16)), point(found, point_bits(n, 4))))
-            yield pd.concat([batch[["doc", "spot"]].reset_index(drop=True),
+            yield pd.concat([batch[["doc", "spot", "body"]].reset_index(drop=True),
                              pd.DataFrame(out, columns=["node", "n", "prefix", "point", "fine"])], axis=1)
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.xxhash64(doc_id).alias("spot"), F.col(text).alias("t"))
-    return stage(rows.mapInPandas(sign, "doc long, spot long, node long, n int, prefix array<long>, point binary, fine binary"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.xxhash64(doc_id).alias("spot"),
+                       F.xxhash64(text).alias("body"), F.col(text).alias("t"))
+    return stage(rows.mapInPandas(sign, "doc long, spot long, body long, node long, n int, prefix array<long>, point binary, fine binary"))
 
 
 def _only(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -175,7 +199,7 @@ def verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, doc_id: str,
     def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo, squeeze = hash_memo(), zstandard.ZstdCompressor()
         for batch in batches:
-            yield pd.DataFrame({"node": [node_of(shingles(t, memo)) for t in batch["t"]],
+            yield pd.DataFrame({"node": [node_of(found) for found in shingle_sets(batch["t"], memo)],
                                 "packed": [squeeze.compress((t or "").encode("utf-8", "surrogatepass")) for t in batch["t"]]})
 
     texts = _only(docs.select(F.xxhash64(doc_id).alias("spot"), F.col(text).alias("t")), spots, "spot")
@@ -328,7 +352,9 @@ def shared_members(signed: DataFrame) -> DataFrame:
     The weight is a node's share of such shingles: the text that others are copies of has the most.
 
     Most prefix shingles occur once and are counted away as bare keys. A bitmap of bounded size of the shared ones then
-    thins out the prefixes where they lie; what it lets through by chance falls out of the join with the keys.
+    thins out the prefixes where they lie; what it lets through by chance falls out of the join with the keys. A passage
+    makes a leaf of each of its shingles, all with the same members: of leaves with the same set of nodes, told by its size
+    and 128 bits of hash, one stays, and leaves of one node go. Neither loses a pair.
     """
     prefixes = signed.filter(F.col("prefix").isNotNull())
     shared = stage(prefixes.select(F.explode("prefix").alias("key")).groupBy("key").agg(
@@ -363,13 +389,17 @@ def shared_members(signed: DataFrame) -> DataFrame:
 
     thin.__annotations__ = {"prefix": pd.Series, "return": pd.Series}
     thinned = prefixes.select("node", "n", F.explode(F.pandas_udf(thin, "array<long>")("prefix")).alias("key"))
-    found = stage(thinned.join(shared, "key").select("key", "node", "n"))
+    found = stage(thinned.join(shared, "key").select("key", "node", "n").distinct())
     weights = found.groupBy("node").agg((F.count(F.lit(1)) / F.first("n")).alias("weight"))
-    return stage(found.drop("n").join(weights, "node").select("key", "node", "weight"))
+    leaves = found.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"), *[F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"set{i}") for i in (0, 1)])
+    chosen = stage(leaves.filter("size > 1").groupBy("size", "set0", "set1").agg(F.min("key").alias("key")).select("key"))
+    return stage(_only(found.drop("n"), chosen, "key").join(weights, "node").select("key", "node", "weight"))
 
 
-def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id: the smallest id that links lead to."""
+def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id: the smallest id that links lead to; cluster, the component's own key, which holds
+    where ids are null or repeated (one for all texts without words); body, xxhash64 of the text."""
     inner, at = apart(docs)
     key, body = at[doc_id], at[text]
     signed = signatures(inner, key, body)
@@ -385,9 +415,18 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     crossing = stage(bounded(leaf_candidates(members.select("key", "node"), clusters, known), known))
     second = stage(verified(crossing, signed, inner, key, body))
     found = stage(components(links.union(second)))
-    rows = signed.select("doc", "node", "n").join(found, "node", "left").withColumn(
-        "cluster", F.coalesce("cluster", "node"))
-    least_id = rows.filter(F.col("n") > 0).groupBy("cluster").agg(F.min("doc").alias("least"))
-    return rows.join(least_id, "cluster", "left").select(
+    nodes = signed.filter(F.col("n") > 0).groupBy("node").agg(F.min("doc").alias("low"), F.count(F.lit(1)).alias("rows"))
+    nodes = stage(nodes.join(found, "node", "left").withColumn("cluster", F.coalesce("cluster", "node")))
+    of_cluster = nodes.groupBy("cluster").agg(F.min("low").alias("least"), F.count(F.lit(1)).alias("held")).filter("held > 1")
+    placed = stage(spread_join(nodes, of_cluster, "cluster").withColumn("least", F.coalesce("least", "low")))
+    grouped = placed.filter((F.col("rows") > 1) | (F.col("cluster") != F.col("node")) | ~F.col("least").eqNullSafe(F.col("low")))
+    rows = spread_join(signed.select("doc", "body", "node", "n"), grouped.select(
+        "node", "cluster", "least", F.col("rows").alias("held")), "node")
+    return rows.select(
         F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
+        F.coalesce("least", "doc").alias("component_id"), F.coalesce("cluster", "node").alias("cluster"), "body")
+
+
+def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id."""
+    return jaccard_classes(docs, doc_id, text).select("doc_id", "n_shingles", "component_id")

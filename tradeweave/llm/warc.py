@@ -27,8 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeweave.llm.text import apart
-from tradeweave.session import forget_at_exit, shared_dir
+from tradeweave.llm.text import apart, spread_join
+from tradeweave.session import forget_at_exit, shared_dir, stage
 
 CRLF = "\r\n"
 END = CRLF + CRLF
@@ -109,6 +109,18 @@ def parse_archive(data: bytes) -> Iterator[dict]:
         at = start + length + 4
 
 
+def unpacked(content: bytes) -> bytes:
+    """The content of all gzip members of a file: archives may be gzip as a whole or record by record."""
+    members, data = [], content
+    while data.strip(b"\0"):  # zeros may fill up a file
+        member = zlib.decompressobj(47)
+        members.append(member.decompress(data) + member.flush())
+        if not member.eof:
+            raise ValueError("a gzip member is cut off")
+        data = member.unused_data
+    return b"".join(members)
+
+
 _ROW = "record_id string, page_id string, record_type string, refers_to_id string, url string, header_digest string, "
 _ROW += "payload_bytes long, payload_digest string, payload string"
 
@@ -119,7 +131,7 @@ def read_records(spark: SparkSession, path: str, payloads: bool = False) -> Data
         for batch in batches:
             for content in batch["content"]:
                 found, size = [], 0
-                for r in parse_archive(zlib.decompressobj(47).decompress(bytes(content))):
+                for r in parse_archive(unpacked(bytes(content))):
                     body = r["payload"]
                     found.append((r["warc-record-id"], r.get("page-id"), r["warc-type"], r.get("warc-refers-to"),
                                   r.get("warc-target-uri"), r["warc-payload-digest"].partition(":")[2], len(body),
@@ -137,16 +149,22 @@ def read_records(spark: SparkSession, path: str, payloads: bool = False) -> Data
     return files.mapInPandas(rows, _ROW)
 
 
-def resolve_revisits(rows: DataFrame) -> DataFrame:
-    """Records with their full payload's length, digest and text: those of a revisit come from its original."""
+def resolve_revisits(rows: DataFrame, payloads: bool = False) -> DataFrame:
+    """Records with their full payload's length, digest and text: those of a revisit come from its original.
+
+    Only revisits are joined, with the responses they refer to. Without payloads the records are narrow: they are staged,
+    and originals of very many revisits are broadcast.
+    """
     own = ["payload_bytes", "payload_digest", "payload"]
-    originals = rows.filter(F.col("record_type") == "response").dropDuplicates(["record_id"]).select(
-        F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"),
-        *[F.col(c).alias(f"_{c}") for c in own])
-    revisit = F.col("record_type") == "revisit"
-    return rows.join(originals, "refers_to_id", "left").select(
-        "record_id", "page_id", "record_type", "refers_to_id", "refers_to", "url", "header_digest",
-        *[F.when(revisit, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in own])
+    rows = rows if payloads else stage(rows)
+    revisits, others = rows.filter("record_type = 'revisit'"), rows.filter("record_type <> 'revisit'")
+    held = revisits.groupBy("refers_to_id").agg(F.count(F.lit(1)).alias("held"))
+    originals = others.filter("record_type = 'response'").dropDuplicates(["record_id"]).select(
+        F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"), *own).join(held, "refers_to_id")
+    found = revisits.drop(*own)
+    found = found.join(originals, "refers_to_id", "left") if payloads else spread_join(found, stage(originals), "refers_to_id")
+    columns = ["record_id", "page_id", "record_type", "refers_to_id", "refers_to", "url", "header_digest", *own]
+    return others.withColumn("refers_to", F.lit(None).cast("string")).select(*columns).unionByName(found.select(*columns))
 
 
 def archive_and_read(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html",
@@ -157,4 +175,4 @@ def archive_and_read(pages: DataFrame, page_id: str = "page_id", url: str = "url
         path = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
         forget_at_exit(spark, path)
     write_archives(pages, path, page_id=page_id, url=url, payload=payload, min_bytes=min_bytes)
-    return resolve_revisits(read_records(spark, path, payloads))
+    return resolve_revisits(read_records(spark, path, payloads), payloads)
