@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tradeweave.llm.line_rules import judge_documents
 from tradeweave.llm.mixing import mix
-from tradeweave.llm.ngram_join import jaccard_components
+from tradeweave.llm.ngram_join import jaccard_classes
 from tradeweave.llm.packing import pack
 from tradeweave.llm.quality_model import classify
 from tradeweave.llm.queries import BYTE_BPE, table, tokenizer_path
@@ -37,13 +37,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links lead through: the one with the smallest id; a repeated row stays once."""
-    classes = stage(jaccard_components(docs))
-    chosen = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    """One document of each group that links lead through: the one with the smallest id, null ids last, then the smallest
+    hash of its text; a repeated row stays once. Texts without words link with nothing and stay."""
+    classes = stage(jaccard_classes(docs))
+    alone = F.col("n_shingles") == 0
+    one = [F.col("cluster"), F.when(alone, F.col("doc_id")).alias("own_id"), F.when(alone, F.col("body")).alias("own_body")]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "body")).alias("first")
+    chosen = stage(classes.groupBy(*one).agg(first).select("first.doc_id", "first.body"))
     if chosen.count() <= BROADCAST_IDS:
         chosen = F.broadcast(chosen)
-    kept = docs.alias("d").join(chosen.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), "left_semi")
-    if not classes.groupBy("doc_id").count().filter("count > 1").isEmpty():
+    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.xxhash64("d.text") == F.col("c.body"))
+    kept = docs.alias("d").join(chosen.alias("c"), same, "left_semi")
+    if not classes.groupBy("doc_id", "body").count().filter("count > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", "text"])
     return kept.select(*COLUMNS)
 
