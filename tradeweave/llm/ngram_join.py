@@ -6,7 +6,7 @@ A text is the set of its distinct five-word shingles (64-bit hashes). Two texts
 * Points. Shingles are dealt into groups by hash; a set's point is its count in each group. An overlap is never
   larger than the sum of coordinate minima of two points, nor than that of two boxes' upper corners. Boxes have 64
   groups; pairs that pass them are bounded again by points of more groups for longer texts, with about sixteen and then
-  about four shingles to a group.
+  less than one shingle to a group (four in texts of many thousand words).
 * Leaves. One tree over all points would not prune, as unrelated texts of a length have nearly equal counts. So the
   upper level is addressed by shingles instead of coordinates, without loss: in one common order of all shingles, two
   sets that link share one of their first |A| - 0.8 |A| + 1 shingles. The order puts frequent shingles last, by counts of
@@ -107,6 +107,11 @@ def point_bits(n: int, each: int) -> int:
     return min(max((n // each).bit_length(), GROUPS_BITS), 14)
 
 
+def fine_bits(n: int) -> int:
+    """Groups of the finest points: more of them than shingles up to a few thousand, so few unrelated shingles share one."""
+    return max(point_bits(n, 4), min(point_bits(n, 1) + 1, 12))
+
+
 def coarse(packed: pd.Series) -> np.ndarray:
     """Points of all lengths, folded to the 2^GROUPS_BITS groups of boxes."""
     out = np.empty((len(packed), 1 << GROUPS_BITS), np.int32)
@@ -176,7 +181,7 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 seen.add(node)
                 common = order.value[(found >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
                 first = found[np.argsort(common, kind="stable")][:prefix_length(n)]
-                out.append((node, n, first.astype(np.int64), point(found, point_bits(n, 16)), point(found, point_bits(n, 4))))
+                out.append((node, n, first.astype(np.int64), point(found, point_bits(n, 16)), point(found, fine_bits(n))))
             yield pd.concat([batch[["doc", "spot", "body"]].reset_index(drop=True),
                              pd.DataFrame(out, columns=["node", "n", "prefix", "point", "fine"])], axis=1)
 
@@ -244,19 +249,19 @@ def bounded(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").filter(sizes_fit).filter(possible("na", "nb", "pa", "pb")).select("a", "b")
 
 
-def _pairs(node: np.ndarray, n: np.ndarray, packed: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Of the rows x[i], y[i] the pairs of nodes that may link, each once."""
+def _pairs(node: np.ndarray, n: np.ndarray, points: list[np.ndarray], at: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of the rows x[i], y[i] the pairs of nodes that may link by all `points`, coarse ones first; each pair once."""
     fits = 100 * np.minimum(n[x], n[y]) >= SHARE * np.maximum(n[x], n[y])
     x, y = x[fits], y[fits]
     fits = may_link(at[x], at[y], n[x], n[y])
     x, y = x[fits], y[fits]
     both, first = np.unique(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], 1), axis=0, return_index=True)
-    fine = [(100 + SHARE) * finest_bound(packed[i], packed[j]) >= SHARE * (int(n[i]) + int(n[j]))
+    fits = [all((100 + SHARE) * finest_bound(p[i], p[j]) >= SHARE * (int(n[i]) + int(n[j])) for p in points)
             for i, j in zip(x[first], y[first])]
-    return both[np.array(fine, bool)]
+    return both[np.array(fits, bool)]
 
 
-def leaf_pairs(node: np.ndarray, n: np.ndarray, cluster: np.ndarray, side: np.ndarray, packed: np.ndarray,
+def leaf_pairs(node: np.ndarray, n: np.ndarray, cluster: np.ndarray, side: np.ndarray, points: list[np.ndarray],
                at: np.ndarray) -> np.ndarray:
     """Pairs of rows of one unit that may link: sizes ascending, boxes of points, then points.
 
@@ -277,7 +282,7 @@ def leaf_pairs(node: np.ndarray, n: np.ndarray, cluster: np.ndarray, side: np.nd
         fits = (node[x] != node[y]) & (cluster[x] != cluster[y])
         if not whole:
             fits &= side[x] != side[y]
-        found.append(_pairs(node, n, packed, at, x[fits], y[fits]))
+        found.append(_pairs(node, n, points, at, x[fits], y[fits]))
     return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
 
 
@@ -286,7 +291,7 @@ def _search_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def pairs(rows: pd.DataFrame) -> pd.DataFrame:
         columns = [rows[c].to_numpy(np.int64) for c in ("key", "i", "j", "node", "n", "cluster", "side")]
         key, i, j, node, n, cluster, side = columns
-        packed, at = rows["point"].to_numpy(), coarse(rows["point"])
+        points, at = [rows["point"].to_numpy(), rows["fine"].to_numpy()], coarse(rows["point"])
         starts = np.flatnonzero(np.r_[True, (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)])
         sizes = np.diff(np.r_[starts, len(key)])
         unit = np.repeat(np.arange(len(starts)), sizes)
@@ -296,10 +301,11 @@ def _search_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             x = np.flatnonzero(small[:-step] & (unit[:-step] == unit[step:])) if len(unit) > step else np.empty(0, np.int64)
             y = x + step
             fits = (node[x] != node[y]) & (cluster[x] != cluster[y]) & ((i[x] == j[x]) | (side[x] != side[y]))
-            found.append(_pairs(node, n, packed, at, x[fits], y[fits]))
+            found.append(_pairs(node, n, points, at, x[fits], y[fits]))
         for u in np.flatnonzero(sizes > 8):
             own = slice(starts[u], starts[u] + sizes[u])
-            found.append(leaf_pairs(node[own], n[own], cluster[own], side[own], packed[own], at[own]))
+            found.append(leaf_pairs(node[own], n[own], cluster[own], side[own],
+                                    [p[own] for p in points], at[own]))
         return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
 
     held = None
@@ -322,11 +328,11 @@ def leaf_candidates(members: DataFrame, clusters: DataFrame, known: DataFrame) -
     mixed_leaves = placed.groupBy("key").agg(
         F.min("cluster").alias("low"), F.max("cluster").alias("high"), F.count(F.lit(1)).alias("size")).filter(
         F.col("low") != F.col("high")).select("key", F.ceil(F.col("size") / UNIT).cast("int").alias("parts"))
-    rows = placed.join(mixed_leaves, "key").join(known.select("node", "n", "point"), "node")
+    rows = placed.join(mixed_leaves, "key").join(known.select("node", "n", "point", "fine"), "node")
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     units = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "n", "cluster",
-        (F.col("part") > F.col("other")).cast("int").alias("side"), "point")
+        (F.col("part") > F.col("other")).cast("int").alias("side"), "point", "fine")
     ordered = units.repartition(F.col("key"), F.col("i"), F.col("j")).sortWithinPartitions("key", "i", "j")
     return ordered.mapInPandas(_search_units, "a long, b long").distinct()
 
@@ -412,7 +418,7 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     more = stage(verified(stage(bounded(crowded, known)), signed, inner, key, body))
     links = stage(links.union(more))
     clusters = stage(components(links))
-    crossing = stage(bounded(leaf_candidates(members.select("key", "node"), clusters, known), known))
+    crossing = stage(leaf_candidates(members.select("key", "node"), clusters, known))
     second = stage(verified(crossing, signed, inner, key, body))
     found = stage(components(links.union(second)))
     nodes = signed.filter(F.col("n") > 0).groupBy("node").agg(F.min("doc").alias("low"), F.count(F.lit(1)).alias("rows"))
