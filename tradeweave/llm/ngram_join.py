@@ -24,6 +24,7 @@ own texts; a null id is never the smallest while another is there; other columns
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -134,6 +135,11 @@ def finest_bound(a: bytes, b: bytes) -> int:
     return int(np.minimum(x, y).sum())
 
 
+def fine_bound(a: bytes, b: bytes) -> int:
+    """`finest_bound` of two finest points, which are kept compressed: most of their counts are zero or one."""
+    return finest_bound(zlib.decompress(a), zlib.decompress(b))
+
+
 def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
     """Whether the bound on the overlap leaves a link possible; rows of a and b are points."""
     return (100 + SHARE) * np.minimum(a, b).sum(-1, dtype=np.int64) >= SHARE * (na + nb)
@@ -181,7 +187,7 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 seen.add(node)
                 common = order.value[(found >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
                 first = found[np.argsort(common, kind="stable")][:prefix_length(n)]
-                out.append((node, n, first.astype(np.int64), point(found, point_bits(n, 16)), point(found, fine_bits(n))))
+                out.append((node, n, first.astype(np.int64), point(found, point_bits(n, 16)), zlib.compress(point(found, fine_bits(n)), 1)))
             yield pd.concat([batch[["doc", "spot", "body"]].reset_index(drop=True),
                              pd.DataFrame(out, columns=["node", "n", "prefix", "point", "fine"])], axis=1)
 
@@ -239,7 +245,7 @@ def verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, doc_id: str,
 def bounded(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs (a, b) whose fine points leave a link possible."""
     def test(na: pd.Series, nb: pd.Series, pa: pd.Series, pb: pd.Series) -> pd.Series:
-        return pd.Series([(100 + SHARE) * finest_bound(x, y) >= SHARE * (m + n) for m, n, x, y in zip(na, nb, pa, pb)], dtype=bool)
+        return pd.Series([(100 + SHARE) * fine_bound(x, y) >= SHARE * (m + n) for m, n, x, y in zip(na, nb, pa, pb)], dtype=bool)
 
     test.__annotations__ = {k: pd.Series for k in ("na", "nb", "pa", "pb", "return")}
     possible = F.pandas_udf(test, "boolean")
@@ -256,8 +262,9 @@ def _pairs(node: np.ndarray, n: np.ndarray, points: list[np.ndarray], at: np.nda
     fits = may_link(at[x], at[y], n[x], n[y])
     x, y = x[fits], y[fits]
     both, first = np.unique(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], 1), axis=0, return_index=True)
-    fits = [all((100 + SHARE) * finest_bound(p[i], p[j]) >= SHARE * (int(n[i]) + int(n[j])) for p in points)
-            for i, j in zip(x[first], y[first])]
+    point, fine = points
+    fits = [(100 + SHARE) * finest_bound(point[i], point[j]) >= (need := SHARE * (int(n[i]) + int(n[j])))
+            and (100 + SHARE) * fine_bound(fine[i], fine[j]) >= need for i, j in zip(x[first], y[first])]
     return both[np.array(fits, bool)]
 
 
