@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import prose
-from tradeweave.llm.language import RUN, Scorer, Vocabulary, identify, runs
+from tradeweave.llm.language import SHORT, Scorer, Vocabulary, identify
 from tradeweave.llm.lm_scoring import CONTEXT_BITS, CONTEXT_WEIGHT, SMOOTHING, WORD_BITS, cells, score_documents
 from tradeweave.llm.quality_model import classify, dual_coordinate_descent, log_count_ratios
 from tradeweave.llm.text import hash_memo
@@ -46,12 +46,11 @@ def test_forward_sums_all_segmentations():
 
 def test_scores_do_not_depend_on_what_is_remembered(monkeypatch):
     p = np.random.default_rng(2).random((Vocabulary.load(PIECES).size, 3)) / 1000
-    texts = [prose(i, 80, 10**5) + " " + "y" * (3 * RUN) for i in range(6)] + ["x"]
+    texts = [prose(i, 80, 10**5) + " " + "y" * (3 * SHORT) for i in range(6)] + ["x"]
     free = Scorer(PIECES, p).score_many(texts)
     monkeypatch.setattr("tradeweave.llm.language.HELD_WORDS", 50)
     monkeypatch.setattr("tradeweave.llm.language.CHUNK_CHARS", 500)
     assert np.allclose(free, Scorer(PIECES, p).score_many(texts))
-    assert "".join(runs("y" * 200)) == "▁" + "y" * 200 and max(map(len, runs("y" * 200))) == RUN
 
 
 def test_language_of_held_out_texts(spark):

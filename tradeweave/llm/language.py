@@ -5,9 +5,11 @@ into pieces of a fixed public vocabulary of the product of the pieces' probabili
 probabilities are learned per language by the matching expectation step (forward-backward over the words of the
 learning rows), from a start that favours the vocabulary's early, frequent pieces in the same way for all languages.
 
-Words are lower-cased and cut at white space; lattices of many distinct words are built at once and their recursions
-run over numpy arrays; words whose products come near the least number are summed in logarithms. A word of more than 48 characters is scored as consecutive runs of 48. Each worker remembers a
-bounded number of words.
+Words are lower-cased and cut at white space. Lattices of many distinct words are built at once by walking the
+vocabulary's trie over arrays, and their recursions run over numpy arrays. Words whose products come near the least number,
+and all words of more than SHORT characters, are summed in logarithms; long words go in stretches of STRETCH starts that
+hand the last sums on, so that segmentations across a stretch's end count like all others and memory stays bounded. Each
+worker remembers a bounded number of words.
 
 Defined results: a null text or one without a letter is `und` with score 0; rows with a null language are not learned
 from; with nothing to learn from every text is `und`; ties go to the language that sorts first; repeated rows get the
@@ -27,13 +29,16 @@ from pyspark.sql import functions as F
 
 from tradeweave.llm.text import add_columns, apart, together
 
-RUN = 48  # longest stretch of a word that one lattice covers, below 64
+SHORT = 48  # longest word, with its mark, that is tried with plain products
+STRETCH = 512  # starts of long words whose lattice is held at a time
+LONG_CELLS = 1 << 21  # characters of long words that go together
 HELD_WORDS = 1_000_000  # distinct words a worker counts or remembers at a time
+HELD_BYTES = 64 << 20  # of their log-probabilities, for many languages
 CHUNK_CHARS = 1_000_000  # characters of texts that are split into words at a time
 SMOOTHING = 0.05  # added to every piece's expected count
 UNKNOWN = 1e-7  # probability of a character that is no piece
 _SCALE = 64.0  # per character, keeps products of probabilities in range
-_LEAST = 1e-150  # smaller sums are taken in logarithms; what products lose in RUN characters is below 1e-200
+_LEAST = 1e-150  # smaller sums are taken in logarithms; what products lose in SHORT characters is below 1e-200
 _COUNT_PARTS = 1 << 16  # expected counts are summed as whole numbers of these parts
 
 
@@ -55,7 +60,24 @@ class Vocabulary:
         self.size = self.unknown + 1
         if self.size >= 1 << 16:
             raise ValueError("more pieces than a lattice can hold")
-        self.known = dict.fromkeys((p[:n] for p in self.ids for n in range(1, len(p))), -1) | self.ids
+        self._grow_trie()
+
+    def _grow_trie(self) -> None:
+        """Children by (node, character) in one sorted array, and the piece that ends at each node (-1 if none)."""
+        nodes, children = {"": 0}, {}
+        for piece in self.ids:
+            for n in range(1, len(piece) + 1):
+                if piece[:n] not in nodes:
+                    nodes[piece[:n]] = len(nodes)
+                    children[nodes[piece[:n - 1]] << 21 | ord(piece[n - 1])] = nodes[piece[:n]]
+        self.longest = max(map(len, self.ids))
+        self._keys = np.array(sorted(children), np.int64)
+        self._child = np.array([children[k] for k in self._keys.tolist()], np.int64)
+        self._ends = np.full(len(nodes), -1, np.int64)
+        self._ends[[nodes[piece] for piece in self.ids]] = list(self.ids.values())
+        roots = self._keys < 1 << 21
+        self._first = np.full(1 << 21, -1, np.int32)
+        self._first[self._keys[roots]] = self._child[roots]
 
     @classmethod
     def load(cls, path: str) -> "Vocabulary":
@@ -71,27 +93,81 @@ class Vocabulary:
         p[self.unknown] = UNKNOWN
         return p
 
-    def lattice(self, texts: list[str]) -> "Lattice":
-        """All pieces that occur in the texts; a word starts with the vocabulary's mark of a word."""
-        edges: list[int] = []  # word, start, end and piece of each in one number
-        add, known, unknown = edges.append, self.known.get, self.unknown
-        for w, text in enumerate(texts):
-            for i in range(len(text)):
-                at = (w << 12 | i << 6) << 16
-                j = i + 1
-                found = known(text[i:j])
-                if found is None or found < 0:
-                    add(at | j << 16 | unknown)
-                while found is not None:
-                    if found >= 0:
-                        add(at | j << 16 | found)
-                    j += 1
-                    if j > len(text):
-                        break
-                    found = known(text[i:j])
-        packed = np.array(edges, np.int64)
-        return Lattice(packed >> 28, packed >> 22 & 63, packed >> 16 & 63, packed & 0xFFFF,
-                       np.fromiter(map(len, texts), np.int64, len(texts)))
+    def lattice(self, texts: list[str], stretch: int | None = None) -> "Lattice":
+        """All pieces that occur in the texts (with `stretch` only those that start before it), ordered by word and start."""
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        word = np.repeat(np.arange(len(texts)), lengths)
+        start = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        left = np.repeat(lengths, lengths) - start
+        at = np.arange(len(codes)) if stretch is None else np.flatnonzero(start < stretch)
+        node = self._first[codes[at]].astype(np.int64)
+        single = np.where(node >= 0, self._ends[node], -1)
+        places, pieces, sizes = [at], [np.where(single >= 0, single, self.unknown)], [np.ones(len(at), np.int64)]
+        at, node = at[node >= 0], node[node >= 0]
+        for size in range(2, self.longest + 1):
+            on = left[at] >= size
+            at, node = at[on], node[on]
+            if not len(at):
+                break
+            key = node << 21 | codes[at + (size - 1)]
+            found = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+            on = self._keys[found] == key
+            at, node = at[on], self._child[found[on]]
+            piece = self._ends[node]
+            on = piece >= 0
+            places.append(at[on])
+            pieces.append(piece[on])
+            sizes.append(np.full(len(places[-1]), size, np.int64))
+        place, piece, size = np.concatenate(places), np.concatenate(pieces), np.concatenate(sizes)
+        order = np.argsort(place, kind="stable")
+        place, piece, size = place[order], piece[order], size[order]
+        return Lattice(word[place], start[place], start[place] + size, piece, lengths)
+
+    def long_totals(self, texts: list[str], log_p: np.ndarray) -> np.ndarray:
+        """Logarithms of the sums over all segmentations of long words, array (word, language), stretch by stretch."""
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        out = np.empty((len(texts), log_p.shape[1]))
+        carried = np.full((self.longest + 1, len(texts), log_p.shape[1]), -np.inf)  # sums at a stretch's start and beyond
+        carried[0] = 0
+        open_words = np.arange(len(texts))
+        for begin in range(0, int(lengths.max(initial=0)), STRETCH):
+            parts = [texts[w][begin:begin + STRETCH + self.longest] for w in open_words]
+            sums = np.full((STRETCH + self.longest + 1, len(parts), log_p.shape[1]), -np.inf)
+            sums[:self.longest + 1] = carried
+            self.lattice(parts, STRETCH).push(sums, log_p)
+            rest = lengths[open_words] - begin
+            done = rest <= STRETCH
+            out[open_words[done]] = sums[rest[done], np.flatnonzero(done)]
+            carried = sums[STRETCH:, ~done]
+            open_words = open_words[~done]
+        return out
+
+    def long_expected(self, texts: list[str], log_p: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Expected uses of each piece in long words that occur counts[w] times: forward and backward sums in logarithms,
+        held for whole words, over lattices of a stretch. `log_p` is one column."""
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        most = int(lengths.max(initial=0))
+        forward = np.full((most + self.longest + 1, len(texts), 1), -np.inf)
+        forward[0] = 0
+        back = np.full_like(forward, -np.inf)
+        back[lengths, np.arange(len(texts))] = 0
+        uses = np.zeros(len(log_p))
+        begins = range(0, most, STRETCH)
+
+        def stretch(begin: int) -> Lattice:
+            return self.lattice([t[begin:begin + STRETCH + self.longest] for t in texts], STRETCH)
+
+        for begin in begins:
+            stretch(begin).push(forward[begin:], log_p)
+        totals = forward[lengths, np.arange(len(texts)), 0]
+        for begin in reversed(begins):
+            lattice, later = stretch(begin), back[begin:]
+            lattice.pull(later, log_p)
+            used = np.exp(forward[begin:][lattice.start, lattice.word, 0] + log_p[lattice.piece, 0]
+                          + later[lattice.end, lattice.word, 0] - totals[lattice.word])
+            uses += np.bincount(lattice.piece, used * counts[lattice.word], len(log_p))
+        return uses
 
 
 class Lattice:
@@ -102,7 +178,7 @@ class Lattice:
 
     @staticmethod
     def _steps(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key.astype(np.uint16), kind="stable")  # starts and ends are below 2^16: a radix sort
         cuts = np.flatnonzero(np.diff(key[order])) + 1
         for rows in np.split(order, cuts):
             if len(rows):
@@ -153,21 +229,49 @@ class Lattice:
             sums[e, words[firsts]] = top + np.log(np.add.reduceat(spread, firsts, axis=0))
         return sums
 
+    def push(self, sums: np.ndarray, log_p: np.ndarray) -> None:
+        """Adds the pieces' logarithms to sums (end, word, language), start by start; a word has one piece per start and end."""
+        for s, rows in self._steps(self.start):
+            words, ends = self.word[rows], self.end[rows]
+            sums[ends, words] = np.logaddexp(sums[ends, words], sums[s, words] + log_p[self.piece[rows]])
+
+    def pull(self, back: np.ndarray, log_p: np.ndarray) -> None:
+        """Fills the backward sums (start, word, 1) from the last start to the first."""
+        for s, rows in reversed(list(self._steps(self.start))):
+            words = self.word[rows]
+            firsts = np.flatnonzero(np.r_[True, np.diff(words) > 0])
+            values = back[self.end[rows], words] + log_p[self.piece[rows]]
+            back[s, words[firsts]] = np.logaddexp.reduceat(values, firsts, axis=0)
+
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece when word w occurs counts[w] times; p is one column."""
         sums, back = self.forward(p), np.zeros((int(self.lengths.max(initial=0)) + 1, len(self.lengths), 1))
         weights = self._weights(p)
         back[self.lengths, np.arange(len(self.lengths))] = 1
-        for s, rows in sorted(self._steps(self.start), key=lambda step: -step[0]):
+        for s, rows in reversed(list(self._steps(self.start))):
             self._add(back[s], rows, back[self.end[rows], self.word[rows]] * weights[rows])
         used = sums[self.start, self.word, 0] * weights[:, 0] * back[self.end, self.word, 0]
         used *= (counts / self.totals(sums)[:, 0])[self.word]
         return np.bincount(self.piece, used, len(p))
 
 
-def runs(word: str) -> list[str]:
-    marked = "▁" + word
-    return [marked] if len(marked) <= RUN else [marked[i:i + RUN] for i in range(0, len(marked), RUN)]
+def marked(word: str) -> str:
+    return "▁" + word
+
+
+def groups(words: list[str]) -> Iterator[tuple[bool, list[int]]]:
+    """(long, places of words) that go together: 20,000 short words, or long ones of like length up to LONG_CELLS characters."""
+    short = [k for k, w in enumerate(words) if len(w) < SHORT]
+    for at in range(0, len(short), 20_000):
+        yield False, short[at:at + 20_000]
+    held: list[int] = []
+    for k in sorted((k for k, w in enumerate(words) if len(w) >= SHORT), key=lambda k: len(words[k])):
+        if held and (len(held) + 1) * (len(words[k]) + 1) > LONG_CELLS:
+            yield True, held
+            held = []
+        held.append(k)
+    if held:
+        yield True, held
 
 
 def chunks(texts: list[str]) -> Iterator[list[str]]:
@@ -193,10 +297,11 @@ def expected_counts(docs: DataFrame, text: str, lang: str, path: str) -> DataFra
         def settle() -> None:
             for language, words in held.items():
                 total = sums.setdefault(language, np.zeros(vocabulary.size))
-                items = list(words.items())
-                for at in range(0, len(items), 20_000):
-                    part = [(r, n) for w, n in items[at:at + 20_000] for r in runs(w)]
-                    total += vocabulary.lattice([r for r, _ in part]).expected(p, np.array([n for _, n in part], float))
+                names, uses = list(words), np.fromiter(words.values(), float, len(words))
+                for long, at in groups(names):
+                    own = [marked(names[k]) for k in at]
+                    total += vocabulary.long_expected(own, np.log(p), uses[at]) if long else \
+                        vocabulary.lattice(own).expected(p, uses[at])
             held.clear()
 
         for batch in batches:
@@ -232,18 +337,19 @@ def learn(docs: DataFrame, text: str, lang: str, path: str) -> tuple[list[str],
 
 
 class Scorer:
-    """Sums of word log-probabilities of texts. The first HELD_WORDS words met are remembered, later ones for a chunk of texts."""
+    """Sums of word log-probabilities of texts. The first words met are remembered, up to HELD_WORDS or HELD_BYTES, later ones for a chunk of texts."""
 
     def __init__(self, path: str, p: np.ndarray):
         self.vocabulary, self.p = Vocabulary.load(path), p
         self.rows: dict[str, int] = {}
-        self.table = np.empty((HELD_WORDS, p.shape[1]))
+        self.table = np.empty((min(HELD_WORDS, HELD_BYTES // max(1, 8 * p.shape[1])), p.shape[1]))
 
     def _log_probabilities(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), self.p.shape[1]))
-        for at in range(0, len(words), 20_000):
-            cut = [(k, r) for k, w in enumerate(words[at:at + 20_000], at) for r in runs(w)]
-            np.add.at(out, [k for k, _ in cut], self.vocabulary.lattice([r for _, r in cut]).log_probabilities(self.p))
+        for long, at in groups(words):
+            own = [marked(words[k]) for k in at]
+            out[at] = self.vocabulary.long_totals(own, np.log(self.p)) if long else \
+                self.vocabulary.lattice(own).log_probabilities(self.p)
         return out
 
     def score_many(self, texts: list[str]) -> list[np.ndarray]:
@@ -262,7 +368,7 @@ class Scorer:
                     sums = sums + found[np.fromiter(map(fresh.__getitem__, words), np.int64, len(words))].sum(0)
                 out.append(sums)
             first = len(self.rows)
-            room = min(len(new), HELD_WORDS - first)
+            room = min(len(new), len(self.table) - first)
             self.table[first:first + room] = found[:room]
             self.rows.update(zip(new[:room], range(first, first + room)))
         return out
@@ -282,12 +388,12 @@ def identify(docs: DataFrame, path: str, text: str = "text", lang: str = "lang",
     known = inner if learn_from is None else apart(docs.filter(F.coalesce(learn_from, F.lit(False))))[0]
     languages, p = learn(known, at[text], at[lang], path)
     token = hash((path, p.tobytes()))
-    source = at[text]
+    source, sent = at[text], docs.sparkSession.sparkContext.broadcast(p)  # vocabulary times languages
 
     def rows(batch: pd.DataFrame) -> pd.DataFrame:
         if token not in _SCORERS:
             _SCORERS.clear()
-            _SCORERS[token] = Scorer(path, p)
+            _SCORERS[token] = Scorer(path, sent.value)
         texts = list(batch[source])
         fit = [i for i, t in enumerate(texts) if languages and t is not None and any(map(str.isalpha, t))]
         pred, score = ["und"] * len(texts), np.zeros(len(texts))
