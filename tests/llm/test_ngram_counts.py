@@ -19,15 +19,16 @@ def plain(docs, chosen):
     vocabulary = len({w for g in grams.values() for w in g})
     out = {i: [len(g)] for i, g in grams.items()}
     for ids in (chosen, list(grams)):
-        both = Counter(p for i in ids for p in pairs[i])
-        word, context = Counter(), Counter()
-        for (c, w), n in both.items():
-            word[w] += n
-            context[c] += n
-        scale = tokens / both.total()
+        every = Counter(p for i in ids for p in pairs[i])
         for i, own in pairs.items():
+            both = every - Counter(own) if i in ids else every
+            word, context = Counter(), Counter()
+            for (c, w), n in both.items():
+                word[w] += n
+                context[c] += n
+            scale = tokens / max(1, both.total())
             losses = [-math.log((both[c, w] * scale + CONTEXT_WEIGHT * (word[w] * scale + SMOOTHING) / (
-                tokens + SMOOTHING * vocabulary)) / (context[c] * scale + CONTEXT_WEIGHT)) for c, w in own]
+                (tokens if both else 0) + SMOOTHING * vocabulary)) / (context[c] * scale + CONTEXT_WEIGHT)) for c, w in own]
             out[i].append(sum(losses) / len(losses) if losses else 0.0)
     return out
 
@@ -55,3 +56,18 @@ def test_counted_scores_of_awkward_rows(spark, awkward, nothing):
     assert (got.score[got.n_tokens == 0] == 0).all()
     assert score_by_counts(nothing, labels).count() == 0
     assert np.allclose(score_by_counts(awkward, labels.limit(0)).toPandas().score, 0)
+
+
+def test_documents_that_occur_twice_stand_out(spark):
+    docs = [(i, prose(i % 40, 300, 3_000)) for i in range(44)] + [(50, "a b c"), (51, "a b c")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(10, 20)], "doc_id long, quality int")
+    loss = score_by_counts(frame, labels).toPandas().set_index("doc_id").background_loss
+    twice, once = [0, 1, 2, 3, 40, 41, 42, 43], range(4, 40)
+    assert loss[twice].max() < 0.8 * loss[once].min()
+
+
+def test_a_document_alone_meets_models_without_counts(spark):
+    frame = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    got = score_by_counts(frame, spark.createDataFrame([(1, 1)], "doc_id long, quality int")).toPandas().set_index("doc_id")
+    assert got.background_loss[1] == pytest.approx(math.log(2)) and got.score[1] == 0 and got.target_loss[2] == 0

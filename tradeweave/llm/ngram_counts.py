@@ -6,10 +6,14 @@ what the corpus has, and grows with it. Nothing is pruned. Words and bigrams go
 Texts are cut into blocks of about BLOCK_TOKENS tokens where they are read. A block sends each of its distinct keys
 once, with its own counts, to the part of the count table that holds the key, and gets the corpus counts back in the
 same order; so the most frequent key is met once a block. Keys are packed by part, the number of parts follows the
-length of the corpus. Losses are computed block by block; the driver sees three totals and the size of the vocabulary.
+length of the corpus. All that travels goes by byte places and compressed. Losses are computed block by block; the driver
+sees three totals and the size of the vocabulary.
 
-Defined results are those of `lm_scoring`: a null or blank text has no tokens, losses and score 0; with no target text
-every score is 0; repeated rows count and score each.
+A document is scored without its own counts: they are taken off both models (off the target model where it is a target), and
+the models are matched to the same size again. So what a text shares with other documents tells, not its length.
+
+Defined results: a null or blank text has no tokens, losses and score 0; with no target text every score is 0; repeated rows
+count and score each, and are other documents to each other; a document alone in a model meets one without counts.
 """
 
 from __future__ import annotations
@@ -38,19 +42,19 @@ _HEAD = "_hashes binary, _words binary, _sizes binary, _flags binary"
 
 
 def planes(numbers: np.ndarray) -> bytes:
-    """64-bit numbers by byte place: high bytes of sorted keys and of counts repeat, so copies on disk get small."""
-    return numbers.view(np.uint8).reshape(-1, 8).T.tobytes()
+    """64-bit numbers by byte place, compressed: high bytes of sorted keys and of counts repeat. How many come first."""
+    flat = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(numbers).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(flat, asbytes=True)
 
 
 def numbers(data: bytes, kind: type = np.int64) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
+    flat = pa.Codec("zstd").decompress(data[8:], 8 * int.from_bytes(data[:8], "little"))
+    return np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(8, -1).T).view(kind).ravel()
 
 
 def word_places(head: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of a block's distinct words, the word of each token, the tokens of each text."""
-    hashes = np.frombuffer(head["_hashes"], np.uint64)
-    width = np.uint16 if len(hashes) <= 1 << 16 else np.uint32
-    return hashes, np.frombuffer(head["_words"], width).astype(np.int64), np.frombuffer(head["_sizes"], np.int64)
+    return numbers(head["_hashes"], np.uint64), numbers(head["_words"]), numbers(head["_sizes"])
 
 
 def block_keys(hashes: np.ndarray, words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -71,8 +75,7 @@ def block_keys(hashes: np.ndarray, words: np.ndarray, sizes: np.ndarray) -> tupl
 def _head(texts: list[np.ndarray], flags: list[bool]) -> tuple[bytes, bytes, bytes, bytes]:
     hashes, words = np.unique(np.concatenate(texts), return_inverse=True)
     sizes = np.array([len(t) for t in texts], np.int64)
-    return (hashes.tobytes(), words.astype(np.uint16 if len(hashes) <= 1 << 16 else np.uint32).tobytes(),
-            sizes.tobytes(), np.array(flags, bool).tobytes())
+    return planes(hashes), planes(words.astype(np.int64)), planes(sizes), np.array(flags, bool).tobytes()
 
 
 def asked_parts(head: dict, bits: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
@@ -148,26 +151,37 @@ def corpus_counts(heads: DataFrame, bits: int) -> DataFrame:
         out["words"] = np.r_[(found & _KIND == 0).sum(), np.zeros(len(keys) - 1, np.int64)].astype(np.int64)
         return pd.DataFrame(out)
 
-    asked = heads.select("_block", "_hashes", "_words", "_sizes", "_flags").mapInPandas(ask, kind)
+    asked = heads.mapInPandas(ask, kind)
     return asked.groupBy("part").applyInPandas(
         add, "part int, block bigint, target binary, background binary, words bigint")
 
 
+def own_counts(text: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """For each token how often its text holds the same index."""
+    _, at, n = np.unique(text * (int(index.max(initial=0)) + 1) + index, return_inverse=True, return_counts=True)
+    return n[at]
+
+
 def block_losses(head: dict, replies: pd.DataFrame, tokens: tuple[int, int], vocabulary: int) -> np.ndarray:
     """Mean target and background loss of each text of a block: array (2, text)."""
     hashes, words, sizes = word_places(head)
     context, bigram, keys = block_keys(hashes, words, sizes)
     order, n = np.argsort(keys, kind="stable"), len(hashes)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    places = (words, context + n, bigram + 2 * n + 1)
+    own = [own_counts(text, index) for index in (words, context, bigram)]
     replies = replies.sort_values("part")
-    names = ("target", "background") if tokens[0] else ("background", "background")
+    flags = np.frombuffer(head["_flags"], bool)
+    models = (("target", tokens[0], flags), ("background", tokens[1], np.ones(len(sizes), bool)))
     matched, out = float(tokens[0] or tokens[1]), []
-    for name, total in zip(names, tokens if tokens[0] else (tokens[1], tokens[1])):
-        counts = np.empty(len(keys))
+    for name, total, inside in models if tokens[0] else models[1:] * 2:
+        counts = np.empty(len(keys), np.int64)
         counts[order] = np.concatenate([numbers(c) for c in replies[name]])
-        counts *= matched / total if total else 1.0
-        word = (counts[:n] + SMOOTHING) / (matched + SMOOTHING * vocabulary)
-        p = (counts[2 * n + 1:][bigram] + CONTEXT_WEIGHT * word[words]) / (counts[n:2 * n + 1][context] + CONTEXT_WEIGHT)
-        text = np.repeat(np.arange(len(sizes)), sizes)
+        rest = total - sizes * inside  # tokens of the model without the text
+        scale, mass = (matched / np.maximum(rest, 1))[text], np.where(rest > 0, matched, 0.0)[text]
+        word, before, both = ((counts[at] - n_own * inside[text]) * scale for at, n_own in zip(places, own))
+        chance = (word + SMOOTHING) / (mass + SMOOTHING * vocabulary)
+        p = (both + CONTEXT_WEIGHT * chance) / (before + CONTEXT_WEIGHT)
         out.append(np.bincount(text, -np.log(p), len(sizes)) / np.maximum(sizes, 1))
     return np.array(out)
 
@@ -187,7 +201,7 @@ def score_by_counts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     marked = inner.join(told, F.col(at[doc_id]) == F.col("_id"), "left").select(
         *own, F.col(at[text]).alias("_t"), F.col("_id").isNotNull().alias("_target"))
     read = stage(blocks(marked.withColumnsRenamed({c: f"c{k}" for k, c in enumerate(own)})))
-    heads = read.filter(F.col("_hashes").isNotNull())
+    heads = read.filter(F.col("_hashes").isNotNull()).select("_block", "_hashes", "_words", "_sizes", "_flags")
     replies = stage(corpus_counts(heads, bits))
     sums = read.agg(F.sum(F.when(F.col("_own"), F.col("_n"))).alias("near"), F.sum("_n").alias("all")).first()
     tokens = (sums["near"] or 0, sums["all"] or 0)
@@ -198,7 +212,7 @@ def score_by_counts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
         return pd.DataFrame({"_b": asked["_block"].iloc[0], "_p": np.arange(len(near), dtype=np.int32), "_near": near,
                              "_far": far})
 
-    losses = heads.select("_block", "_hashes", "_words", "_sizes").groupBy("_block").cogroup(
+    losses = heads.groupBy("_block").cogroup(
         replies.drop("words").groupBy("block")).applyInPandas(score, "_b bigint, _p int, _near double, _far double")
     scored = read.select(*[f"c{k}" for k in range(len(own))], "_block", "_place", "_n").join(
         losses, (F.col("_block") == F.col("_b")) & (F.col("_place") == F.col("_p")))
