@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tradeweave.llm.text import apart, together
 
 BLOCK_ROWS = 2000  # rows that one block of a shard is permuted with, on average
+GENERATOR_RANGE = 1_000_000_000  # fixed by numpy
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, position in the partition below
 
 
@@ -32,13 +33,29 @@ def shard_sizes(n_rows: int, n_shards: int) -> np.ndarray:
 
 
 def _hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
-    """Beyond the generator's range of 1e9 rows its normal limit, cut to what is possible: margins stay exact."""
-    if good + bad < 1_000_000_000:
+    """How many of `drawn` places out of good + bad are good, at any size; the generator's own range ends at 1e9."""
+    if good + bad < GENERATOR_RANGE:
         return int(rng.hypergeometric(good, bad, drawn))
+    return _hypergeometric_by_inversion(rng, good, bad, drawn)
+
+
+def _hypergeometric_by_inversion(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
+    """The same law by inversion of its own probabilities, from ratios of neighbours around the mode.
+
+    Twelve deviations and 64 on either side are looked at; what lies beyond has less weight than the last bit of a double.
+    """
     total = good + bad
-    mean = drawn * (good / total)
-    deviation = (mean * (bad / total) * ((total - drawn) / (total - 1))) ** 0.5
-    return min(max(round(rng.normal(mean, deviation)), drawn - bad, 0), good, drawn)
+    least, most = max(0, drawn - bad), min(good, drawn)
+    mode = min(max((good + 1) * (drawn + 1) // (total + 2), least), most)
+    deviation = (drawn * (good / total) * (bad / total) * ((total - drawn) / max(1, total - 1))) ** 0.5
+    reach = int(12 * deviation) + 64
+    x = np.arange(max(least, mode - reach), min(most, mode + reach) + 1, dtype=np.int64)
+    here = x[:-1].astype(np.float64)
+    steps = (np.log(float(good) - here) + np.log(float(drawn) - here) - np.log(here + 1)
+             - np.log(float(bad - drawn) + here + 1))  # log of p(x + 1) / p(x)
+    logs = np.r_[0.0, np.cumsum(steps)]
+    weights = np.cumsum(np.exp(logs - logs.max()))
+    return int(x[np.searchsorted(weights, rng.random() * weights[-1], side="right")])
 
 
 def communication_matrix(rows_in: dict[int, int], sizes: np.ndarray, seed: int) -> dict[int, np.ndarray]:
@@ -54,11 +71,12 @@ def communication_matrix(rows_in: dict[int, int], sizes: np.ndarray, seed: int)
     return matrix
 
 
-def _local_permutation(matrix: dict[int, np.ndarray], seed: int):
+def _local_permutation(sent, seed: int):
+    """`sent` is the broadcast matrix: one short row per input partition, once per executor."""
     changed = "the input's partitions changed between two reads; stage it first"
 
     def place(batches):
-        partition, shards, keys = -1, None, None
+        partition, shards, keys, matrix = -1, None, None, sent.value
         for at in batches:
             where = at.to_numpy(np.int64)
             here, position = where >> _POSITION_BITS, where & ((1 << _POSITION_BITS) - 1)
@@ -93,8 +111,9 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 40, seed: int = 2024050
                    .agg(F.count(F.lit(1))).collect())  # one row per input partition
     n_rows = sum(rows_in.values())
     matrix = communication_matrix(rows_in, shard_sizes(n_rows, n_shards), seed)
+    sent = docs.sparkSession.sparkContext.broadcast(matrix)  # n_shards numbers for each input partition
     blocks = max(1, -(-n_rows // (n_shards * BLOCK_ROWS)))
-    placed = numbered.withColumn("_put", _local_permutation(matrix, seed)(F.col("_at"))).select(
+    placed = numbered.withColumn("_put", _local_permutation(sent, seed)(F.col("_at"))).select(
         *inner.columns, "_at", F.col("_put.shard").alias("_shard"), F.col("_put.key").alias("_key"),
         F.floor(F.col("_put.key") / F.lit(float(1 << 62) / blocks)).cast("long").alias("_block"))
     before = Window.partitionBy("_shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

@@ -12,7 +12,7 @@ queries. Scores are whole numbers: components are floor(scale * x).
 Defined results: null vectors and vectors with null or non-finite components take no part, nor do rows without an
 id; only vectors of equal length meet; rows that share a query's id are its own and no candidates of it, and the
 least of their vectors is the query; repeated candidates are listed repeatedly; fewer candidates than k are all
-listed; ties go to the smaller id.
+listed; ties go to the smaller id; a product that passes 64 bits raises an OverflowError.
 """
 
 from __future__ import annotations
@@ -90,9 +90,12 @@ def pack(rows: DataFrame, pivots: dict[int, np.ndarray], most: int) -> DataFrame
     return rows.mapInPandas(run, _PAGE_TYPE)
 
 
-def _products(query: np.ndarray, table: np.ndarray, real: np.ndarray | None) -> np.ndarray:
+def _products(query: np.ndarray, table: np.ndarray, real: np.ndarray | None, checked: bool = False) -> np.ndarray:
+    """Inner products; `checked` ones are summed without a limit first, and one that a long cannot hold raises."""
     if real is not None:
         return (real @ query.astype(np.float64)).astype(np.int64)
+    if checked and any(abs(x) >= 1 << 63 for x in table.astype(object) @ query.astype(object)):
+        raise OverflowError("an inner product does not fit 64 bits; use a smaller scale")
     return table @ query
 
 
@@ -106,6 +109,7 @@ def search_page(block: tuple, page: tuple, k: int, floor: np.ndarray) -> list[tu
     q_square, c_square = (q_table.astype(np.float64) ** 2).sum(1), (c_table.astype(np.float64) ** 2).sum(1)
     exact = max(q_square.max(initial=0), c_square.max(initial=0)) < 2.0 ** 52
     real = c_table.astype(np.float64) if exact else None
+    wide = q_square.max(initial=0) * c_square.max(initial=0) >= 2.0 ** 125  # only then a product can pass 64 bits
     apart = np.zeros((len(q_ids), len(c_ids)))
     for p in range(q_far.shape[1]):
         np.maximum(apart, np.abs(q_far[:, p, None] - c_far[None, :, p]), out=apart)
@@ -123,7 +127,7 @@ def search_page(block: tuple, page: tuple, k: int, floor: np.ndarray) -> list[tu
             slab = order[at:at + size]
             at, size = at + size, size * 2
             slab = slab[c_ids[slab] != own]
-            scores = _products(q_table[i], c_table[slab], None if real is None else real[slab])
+            scores = _products(q_table[i], c_table[slab], None if real is None else real[slab], wide)
             if len(scores) > k:
                 cut = np.partition(scores, len(scores) - k)[len(scores) - k]
                 slab, scores = slab[scores >= cut], scores[scores >= cut]
