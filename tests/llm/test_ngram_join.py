@@ -1,6 +1,6 @@
 import random
 import re
-from itertools import combinations
+from itertools import combinations, product
 
 import pandas as pd
 
@@ -94,3 +94,20 @@ def test_long_chain_is_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 101), (7, 7)], "a long, b long")
     found = dict(components(links).collect())
     assert {found[i] for i in range(61)} == {0} and found[100] == found[101] == 100 and len(found) == 63
+
+
+def test_runs_of_few_words_are_told_apart():
+    memo = hash_memo()
+    texts = [" ".join(p) for p in product("abc", repeat=5)]
+    assert len({int(shingles(t, memo)[0]) for t in texts}) == 3 ** 5
+    rng = random.Random(8)
+    for words in ("ab", "abcd", ["la", "na", "hey"]):
+        text = " ".join(rng.choice(words) for _ in range(2000))
+        assert len(shingles(text, memo)) == len(plain_shingles(text))
+
+
+def test_components_of_texts_of_few_words(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice("ab" if i % 2 else "aAbc\x0b") for _ in range(rng.randrange(3, 60)))) for i in range(80)]
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, found.collect())) == sorted(plain_components(rows))

@@ -130,11 +130,13 @@ def gram_hashes(word_hash: np.ndarray, size: int) -> np.ndarray:
 
 def run_hashes(word_hash: np.ndarray, size: int) -> np.ndarray:
     """64-bit hashes of all runs of `size` words as `gram_hashes` gives, but not the same numbers: a sum of products with odd
-    constants, mixed once, which takes a third of the passes over the array."""
+    constants, mixed once, which takes a third of the passes over the array. The constants are in no simple relation: with
+    evenly spaced ones, runs of few different words ("a b b a b", "b a a b b") have equal sums."""
     n = len(word_hash) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64)
+    odd = mixed(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
     total = np.zeros(n, np.uint64)
     for k in range(size):
-        total += word_hash[k:k + n] * np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) & _MASK)
+        total += word_hash[k:k + n] * odd[k]
     return mixed(total)
