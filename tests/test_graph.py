@@ -134,3 +134,42 @@ def test_interval_match_of_missing_and_unmatched_rows(spark):
     assert got == {("a", "None"): (1.0, 1, 0.0), (None, "2024-01-05"): (2.0, 1, 0.0), ("a", "2024-01-05"): (3.0, 1, 6.0),
                    ("z", "2024-01-05"): (4.0, 1, 0.0)}
     assert joins.observed_in_window(claims.limit(0), obs, 30).isEmpty()
+
+
+def staged_by(monkeypatch, work):
+    """Tables that `work` writes."""
+    seen, write = [], graph.stage
+    monkeypatch.setattr(graph, "stage", lambda df: seen.append(write(df)) or seen[-1])
+    return work(), seen
+
+
+LEAVES = [(0, 1), (1, 0)] + [(0, i) for i in range(2, 30)] + [(1, i) for i in range(2, 30)]
+
+
+def test_pagerank_rounds_leave_out_links_to_leaves(spark, monkeypatch):
+    nodes, edges = make(spark, LEAVES, 31)
+    ranks, seen = staged_by(monkeypatch, lambda: graph.pagerank(nodes, edges, rounds=60, stage_every=10))
+    assert min(t.count() for t in seen if "w" in t.columns) == 2  # the two links between nodes that pass rank on
+    got = {r.node_id: r.pagerank for r in ranks.collect()}
+    x = [1 / 31] * 31
+    for _ in range(200):
+        lost = sum(x[2:])
+        x = [0.15 / 31 + 0.85 * (lost / 31 + sum(x[a] / 29 for a, b in LEAVES if b == j)) for j in range(31)]
+    assert all(abs(got[f"n{i}"] - x[i]) < 1e-9 for i in range(31))
+
+
+def test_triangles_ship_lists_of_neighbours_that_have_one(spark, monkeypatch):
+    nodes, edges = make(spark, LEAVES, 31)
+    found, seen = staged_by(monkeypatch, lambda: graph.clustering(nodes, edges))
+    assert [t.count() for t in seen if "nv" in t.columns] == [1]  # one of the two hubs, not the leaves
+    got = {r.node_id: (r.n_triangles, r.clustering_coefficient) for r in found.collect()}
+    assert got["n0"][0] == got["n1"][0] == 28 and got["n2"] == (1, 1.0) and got["n30"] == (0, 0.0)
+
+
+def test_betweenness_levels_expand_without_leaves(spark, monkeypatch):
+    nodes, edges = make(spark, LEAVES, 31)
+    found, seen = staged_by(monkeypatch, lambda: graph.betweenness(nodes, edges, 31))
+    assert any(t.columns == ["node_id"] and t.count() == 2 for t in seen)
+    want = brute_betweenness(LEAVES, 31)
+    got = {r.node_id: r.betweenness_centrality for r in found.collect()}
+    assert all(got[f"n{i}"] == pytest.approx(want[i]) for i in range(31))
