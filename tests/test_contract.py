@@ -59,3 +59,12 @@ def test_results_do_not_depend_on_partitioning(spark, mart):
         seen.append(C.entity_nodes(mart).agg(F.sum(F.xxhash64(*C.NODE_COLUMNS).cast("decimal(38,0)"))).first()[0])
     spark.conf.set("spark.sql.shuffle.partitions", keep)
     assert len(set(seen)) == 1
+
+
+def test_flow_pairs_carry_their_value_alone(mart, monkeypatch):
+    asked, grouping = [], C.grouping_pass
+    monkeypatch.setattr(C, "grouping_pass", lambda lines, sets, measures: asked.append((sets, measures)) or grouping(lines, sets, measures))
+    profile = C.entity_profile(mart)
+    assert all(len(measures) == 1 for sets, measures in asked if any(len(s) == 2 for s in sets))
+    both = mart.nodes.filter("node_type = 'manufacturer'").join(profile.select("node_id", F.col("supplier_concentration_hhi").alias("again")), "node_id")
+    assert both.count() and both.filter(F.col("again") != F.col("supplier_concentration_hhi")).isEmpty()
