@@ -1,10 +1,13 @@
 import random
 import re
+import zlib
 from itertools import combinations, product
 
+import numpy as np
 import pandas as pd
 
 from tradeweave.llm.components import components
+from tradeweave.llm import ngram_join
 from tradeweave.llm.ngram_join import coarse, finest_bound, jaccard_components, may_link, point, point_bits, shingles
 from tradeweave.llm.text import hash_memo
 from tests.llm.conftest import prose
@@ -111,3 +114,31 @@ def test_components_of_texts_of_few_words(spark):
     rows = [(i, " ".join(rng.choice("ab" if i % 2 else "aAbc\x0b") for _ in range(rng.randrange(3, 60)))) for i in range(80)]
     found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(map(tuple, found.collect())) == sorted(plain_components(rows))
+
+
+def test_bounds_of_many_pairs_equal_single_ones_and_points_are_opened_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(1, 9000, 40)
+    sets = [np.sort(rng.integers(0, 2 ** 64, n, dtype=np.uint64)) for n in sizes]
+    sets.append(np.arange(1000, dtype=np.uint64))  # all in one group: counts beyond a byte
+    points = [point(s, point_bits(len(s), 16)) for s in sets]
+    fine = [zlib.compress(point(s, ngram_join.fine_bits(len(s))), 1) for s in sets]
+    x, y = (a.ravel() for a in np.indices((len(sets), len(sets))))
+    assert ngram_join.bounds(points, x, y).tolist() == [finest_bound(points[i], points[j]) for i, j in zip(x, y)]
+    assert ngram_join.bounds(fine, x, y, True).tolist() == [ngram_join.fine_bound(fine[i], fine[j]) for i, j in zip(x, y)]
+    monkeypatch.setattr(ngram_join, "OPEN_POINTS", 8)
+    monkeypatch.setattr(ngram_join, "TABLE_CELLS", 100)
+    monkeypatch.setattr(ngram_join, "PAIR_CELLS", 100)
+    assert ngram_join.bounds(fine, x, y, True).tolist() == [ngram_join.fine_bound(fine[i], fine[j]) for i, j in zip(x, y)]
+    assert not len(ngram_join.bounds(points, x[:0], y[:0]))
+    monkeypatch.undo()
+
+    near = [np.sort(np.r_[sets[0][:200], rng.integers(0, 2 ** 64, 100, dtype=np.uint64)]) for _ in range(200)]
+    opened = []
+    monkeypatch.setattr(ngram_join.zlib, "decompress", lambda data, real=zlib.decompress: opened.append(1) or real(data))
+    near_points = np.array([point(s, point_bits(len(s), 16)) for s in near], object)
+    near_fine = np.array([zlib.compress(point(s, ngram_join.fine_bits(len(s))), 1) for s in near], object)
+    node = np.arange(len(near))
+    ngram_join.leaf_pairs(node, np.full(len(near), 300), node, np.zeros(len(near), np.int64), [near_points, near_fine],
+                          coarse(pd.Series(near_points)))
+    assert 0 < len(opened) <= len(near)

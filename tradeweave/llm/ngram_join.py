@@ -25,17 +25,18 @@ own texts; a null id is never the smallest while another is there; other columns
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeweave.llm.components import components
-from tradeweave.llm.text import Memo, apart, hash_memo, run_hashes, spread_join, word_hashes
+from tradeweave.llm.text import Memo, apart, run_hashes, spread_join, word_hashes
 from tradeweave.session import stage
 
 GRAM = 5
@@ -49,19 +50,26 @@ BROADCAST_ROWS = 1_000_000  # ids, 8 bytes each; more meet in a shuffle
 SLICE_BITS = 16
 BITMAP_BITS = 29  # of the bitmap of shared shingles at most: 64 MB
 SLAB_WORDS = 20_000
+TABLE_CELLS = 1 << 23  # counts of opened points held at once
+PAIR_CELLS = 1 << 18  # counts of pairs compared at once
+OPEN_POINTS = 2048  # opened at once
+PIECE_ROWS = 1000
 _FIRST = np.array([True])
 
 
-def shingles(text: str | None, memo: Memo) -> np.ndarray:
+def shingles(text: str | bytes | None, memo: Memo | None = None) -> np.ndarray:
     """Ascending distinct hashes of a text's shingles."""
     return next(shingle_sets([text], memo))
 
 
-def shingle_sets(texts: Iterable[str | None], memo: Memo) -> Iterator[np.ndarray]:
-    """`shingles` of each text; texts are hashed together in slabs of some ten thousand words, or one by one if longer."""
+def shingle_sets(texts: Iterable[str | bytes | None], memo: Memo | None = None) -> Iterator[np.ndarray]:
+    """`shingles` of each text; texts are hashed together in slabs of some ten thousand words, or one by one if longer.
+
+    Hashing a word anew takes half the time of looking it up in a `memo` that rare words fill, and no memory."""
     slab, sizes, held = [], [], 0
     for text in texts:
-        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+        data = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b""
+        words = data.lower().split()
         slab += words
         sizes.append(len(words))
         held += len(words)
@@ -71,8 +79,9 @@ def shingle_sets(texts: Iterable[str | None], memo: Memo) -> Iterator[np.ndarray
     yield from _slab_sets(slab, sizes, memo)
 
 
-def _slab_sets(words: list[bytes], sizes: list[int], memo: Memo) -> Iterator[np.ndarray]:
-    hashes = word_hashes(words, memo)
+def _slab_sets(words: list[bytes], sizes: list[int], memo: Memo | None) -> Iterator[np.ndarray]:
+    hashes = word_hashes(words, memo) if memo is not None else np.fromiter(
+        map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     runs, start = run_hashes(hashes, GRAM), 0
     for size in sizes:
         if size >= GRAM:
@@ -85,6 +94,13 @@ def _slab_sets(words: list[bytes], sizes: list[int], memo: Memo) -> Iterator[np.
         start += size
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time: what is made of a batch's texts is never all held at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PIECE_ROWS):
+            yield batch.slice(at, PIECE_ROWS)
+
+
 def node_of(found: np.ndarray) -> int:
     """Equal sets share a node: 64 bits of their hash."""
     return int(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes(), 1)).astype(np.int64))
@@ -113,15 +129,54 @@ def fine_bits(n: int) -> int:
     return max(point_bits(n, 4), min(point_bits(n, 1) + 1, 12))
 
 
-def coarse(packed: pd.Series) -> np.ndarray:
-    """Points of all lengths, folded to the 2^GROUPS_BITS groups of boxes."""
-    out = np.empty((len(packed), 1 << GROUPS_BITS), np.int32)
-    sizes = packed.map(len).to_numpy()
+def folded(packed: Sequence[bytes], groups: int) -> np.ndarray:
+    """Points of all lengths, a row each, folded to `groups` groups; in bytes where counts fit."""
+    sizes = np.fromiter(map(len, packed), np.int64, len(packed))
+    parts, wide = [], False
     for size in np.unique(sizes):
         at = np.flatnonzero(sizes == size)
-        table = np.frombuffer(b"".join(packed.iloc[at]), np.uint8).reshape(len(at), size)
-        counts = table[:, 1:].astype(np.int32) << table[:, :1].astype(np.int32)
-        out[at] = counts.reshape(len(at), 1 << GROUPS_BITS, -1).sum(2)
+        table = np.frombuffer(b"".join([packed[i] for i in at]), np.uint8).reshape(len(at), size)
+        counts = table[:, 1:]
+        if size != groups + 1 or table[:, 0].any():
+            counts = (counts.astype(np.int32) << table[:, :1].astype(np.int32)).reshape(len(at), groups, -1).sum(2, dtype=np.int32)
+            wide |= bool(counts.max(initial=0) > 255)
+        parts.append((at, counts))
+    out = np.empty((len(packed), groups), np.int32 if wide else np.uint8)
+    for at, counts in parts:
+        out[at] = counts
+    return out
+
+
+def coarse(packed: pd.Series) -> np.ndarray:
+    """Points of all lengths, folded to the 2^GROUPS_BITS groups of boxes."""
+    return folded(packed.to_numpy(), 1 << GROUPS_BITS)
+
+
+def bounds(packed: Sequence[bytes], x: np.ndarray, y: np.ndarray, squeezed: bool = False) -> np.ndarray:
+    """`finest_bound` of the points x[i] and y[i] (`fine_bound` of `squeezed` ones), of pairs with equally many groups at once.
+
+    A point is opened and folded once for many pairs; tables hold TABLE_CELLS counts at most, or the points of one pair.
+    """
+    used, at = np.unique(np.concatenate((x, y)), return_inverse=True)
+    if len(used) > OPEN_POINTS and len(x) > OPEN_POINTS // 2:
+        return np.concatenate([bounds(packed, x[i:i + OPEN_POINTS // 2], y[i:i + OPEN_POINTS // 2], squeezed)
+                               for i in range(0, len(x), OPEN_POINTS // 2)])
+    points = [zlib.decompress(packed[u]) if squeezed else packed[u] for u in used]
+    x, y = at[:len(x)], at[len(x):]
+    sizes = np.fromiter(map(len, points), np.int64, len(points))
+    least, out = np.minimum(sizes[x], sizes[y]), np.empty(len(x), np.int64)
+    for size in np.unique(least):
+        groups, own = int(size) - 1, np.flatnonzero(least == size)
+        several = max(1, TABLE_CELLS // (2 * groups))
+        if len(own) > several and len(np.unique(np.concatenate((x[own], y[own])))) <= 2 * several:
+            several = len(own)  # few points in many pairs
+        for i in range(0, len(own), several):
+            part = own[i:i + several]
+            rows, back = np.unique(np.concatenate((x[part], y[part])), return_inverse=True)
+            table, a, b = folded([points[r] for r in rows], groups), back[:len(part)], back[len(part):]
+            step = max(1, PAIR_CELLS // groups)
+            for j in range(0, len(part), step):
+                out[part[j:j + step]] = np.minimum(table[a[j:j + step]], table[b[j:j + step]]).sum(1, dtype=np.int64)
     return out
 
 
@@ -149,20 +204,20 @@ def shingle_order(docs: DataFrame, text: str) -> np.ndarray:
     """Frequency class of each cell of shingle hashes: 0 for the usual, then one more for each doubling."""
     cells, part = 1 << ORDER_BITS, 1 << 12
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo, sums = hash_memo(), np.zeros(cells, np.int64)
-        for batch in batches:
-            for found in shingle_sets(batch["t"], memo):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(cells, np.int32)
+        for batch in _pieces(batches):
+            for found in shingle_sets((t.as_py() for t in batch["t"])):
                 np.add.at(sums, (found >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
         used = np.flatnonzero(sums.reshape(-1, part).any(1))
-        yield pd.DataFrame({"part": used.astype(np.int32), "sums": [
-            sums.reshape(-1, part)[u].astype(np.int32).tobytes() for u in used]})
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(
+            [sums.reshape(-1, part)[u].tobytes() for u in used], pa.binary())], ["part", "sums"])
 
     def add(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(s, np.int32).astype(np.int64) for s in group["sums"])
         return pd.DataFrame({"part": [key[0]], "sums": [total.tobytes()]})
 
-    rows = docs.select(F.col(text).alias("t")).mapInPandas(count, "part int, sums binary").groupBy(
+    rows = docs.select(F.col(text).cast("binary").alias("t")).mapInArrow(count, "part int, sums binary").groupBy(
         "part").applyInPandas(add, "part int, sums binary").collect()  # a table of fixed size
     sums = np.zeros(cells, np.int64)
     for r in rows:
@@ -175,11 +230,13 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc, spot, body (hash of the text), node, n and, once for each node and task, its prefix and points. Written once, read several times."""
     order = docs.sparkSession.sparkContext.broadcast(shingle_order(docs, text))
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo, seen = hash_memo(), set()
-        for batch in batches:
+    types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in _pieces(batches):
             out = []
-            for found in shingle_sets(batch["t"], memo):
+            for found in shingle_sets((t.as_py() for t in batch["t"])):
                 n, node = len(found), node_of(found)
                 if not n or node in seen:
                     out.append((node, n, None, None, None))
@@ -188,12 +245,13 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 common = order.value[(found >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
                 first = found[np.argsort(common, kind="stable")][:prefix_length(n)]
                 out.append((node, n, first.astype(np.int64), point(found, point_bits(n, 16)), zlib.compress(point(found, fine_bits(n)), 1)))
-            yield pd.concat([batch[["doc", "spot", "body"]].reset_index(drop=True),
-                             pd.DataFrame(out, columns=["node", "n", "prefix", "point", "fine"])], axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [batch[c] for c in ("doc", "spot", "body")] + [pa.array(c, kind) for c, kind in zip(zip(*out), types)],
+                ["doc", "spot", "body", "node", "n", "prefix", "point", "fine"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.xxhash64(doc_id).alias("spot"),
-                       F.xxhash64(text).alias("body"), F.col(text).alias("t"))
-    return stage(rows.mapInPandas(sign, "doc long, spot long, body long, node long, n int, prefix array<long>, point binary, fine binary"))
+                       F.xxhash64(text).alias("body"), F.col(text).cast("binary").alias("t"))
+    return stage(rows.mapInArrow(sign, "doc long, spot long, body long, node long, n int, prefix array<long>, point binary, fine binary"))
 
 
 def _only(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -207,24 +265,25 @@ def verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, doc_id: str,
     spots = stage(_only(signed.filter(F.col("point").isNotNull()), nodes, "node").groupBy("node").agg(
         F.min("spot").alias("spot")).select("spot").distinct())
 
-    def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo, squeeze = hash_memo(), zstandard.ZstdCompressor()
-        for batch in batches:
-            yield pd.DataFrame({"node": [node_of(found) for found in shingle_sets(batch["t"], memo)],
-                                "packed": [squeeze.compress((t or "").encode("utf-8", "surrogatepass")) for t in batch["t"]]})
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor()
+        for batch in _pieces(batches):
+            node = [node_of(found) for found in shingle_sets((t.as_py() for t in batch["t"]))]
+            packed = [squeeze.compress(t.as_py() or b"") for t in batch["t"]]
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(packed, pa.binary())], ["node", "packed"])
 
-    texts = _only(docs.select(F.xxhash64(doc_id).alias("spot"), F.col(text).alias("t")), spots, "spot")
-    packed = stage(_only(texts.select("t").mapInPandas(again, "node long, packed binary"), nodes, "node"))
+    texts = _only(docs.select(F.xxhash64(doc_id).alias("spot"), F.col(text).cast("binary").alias("t")), spots, "spot")
+    packed = stage(_only(texts.select("t").mapInArrow(again, "node long, packed binary"), nodes, "node"))
 
     def common(batches: Iterator[tuple]) -> Iterator[pd.Series]:
-        words, open_up = hash_memo(), zstandard.ZstdDecompressor()
+        open_up = zstandard.ZstdDecompressor()
         last: dict[bytes, np.ndarray] = {}  # a leaf's least member comes again and again
 
         def of(key: bytes) -> np.ndarray:
             if key not in last:
                 if len(last) >= 32:
                     last.pop(next(iter(last)))
-                last[key] = shingles(open_up.decompress(key).decode("utf-8", "surrogatepass"), words)
+                last[key] = shingles(open_up.decompress(key))
             return last[key]
 
         for a, b in batches:
@@ -245,7 +304,9 @@ def verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, doc_id: str,
 def bounded(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs (a, b) whose fine points leave a link possible."""
     def test(na: pd.Series, nb: pd.Series, pa: pd.Series, pb: pd.Series) -> pd.Series:
-        return pd.Series([(100 + SHARE) * fine_bound(x, y) >= SHARE * (m + n) for m, n, x, y in zip(na, nb, pa, pb)], dtype=bool)
+        at, points = pd.factorize(np.concatenate((pa.to_numpy(object), pb.to_numpy(object))))
+        both = (na.to_numpy(np.int64) + nb.to_numpy(np.int64)) * SHARE
+        return pd.Series((100 + SHARE) * bounds(points, at[:len(pa)], at[len(pa):], squeezed=True) >= both)
 
     test.__annotations__ = {k: pd.Series for k in ("na", "nb", "pa", "pb", "return")}
     possible = F.pandas_udf(test, "boolean")
@@ -255,17 +316,23 @@ def bounded(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").filter(sizes_fit).filter(possible("na", "nb", "pa", "pb")).select("a", "b")
 
 
-def _pairs(node: np.ndarray, n: np.ndarray, points: list[np.ndarray], at: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Of the rows x[i], y[i] the pairs of nodes that may link by all `points`, coarse ones first; each pair once."""
+def _near(n: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the rows x[i], y[i] those that may link by sizes and coarse points."""
     fits = 100 * np.minimum(n[x], n[y]) >= SHARE * np.maximum(n[x], n[y])
     x, y = x[fits], y[fits]
     fits = may_link(at[x], at[y], n[x], n[y])
-    x, y = x[fits], y[fits]
+    return x[fits], y[fits]
+
+
+def _pairs(node: np.ndarray, n: np.ndarray, points: list[np.ndarray], near: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Of near rows the pairs of nodes that may link by all `points`, coarse ones first; each pair once."""
+    x, y = (np.concatenate([pair[side] for pair in near] + [np.empty(0, np.int64)]) for side in (0, 1))
     both, first = np.unique(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], 1), axis=0, return_index=True)
-    point, fine = points
-    fits = [(100 + SHARE) * finest_bound(point[i], point[j]) >= (need := SHARE * (int(n[i]) + int(n[j])))
-            and (100 + SHARE) * fine_bound(fine[i], fine[j]) >= need for i, j in zip(x[first], y[first])]
-    return both[np.array(fits, bool)]
+    x, y = x[first], y[first]
+    for packed, squeezed in zip(points, (False, True)):
+        fits = (100 + SHARE) * bounds(packed, x, y, squeezed) >= SHARE * (n[x] + n[y])
+        both, x, y = both[fits], x[fits], y[fits]
+    return both
 
 
 def leaf_pairs(node: np.ndarray, n: np.ndarray, cluster: np.ndarray, side: np.ndarray, points: list[np.ndarray],
@@ -289,8 +356,8 @@ def leaf_pairs(node: np.ndarray, n: np.ndarray, cluster: np.ndarray, side: np.nd
         fits = (node[x] != node[y]) & (cluster[x] != cluster[y])
         if not whole:
             fits &= side[x] != side[y]
-        found.append(_pairs(node, n, points, at, x[fits], y[fits]))
-    return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
+        found.append(_near(n, at, x[fits], y[fits]))
+    return _pairs(node, n, points, found)
 
 
 def _search_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -298,17 +365,19 @@ def _search_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def pairs(rows: pd.DataFrame) -> pd.DataFrame:
         columns = [rows[c].to_numpy(np.int64) for c in ("key", "i", "j", "node", "n", "cluster", "side")]
         key, i, j, node, n, cluster, side = columns
-        points, at = [rows["point"].to_numpy(), rows["fine"].to_numpy()], coarse(rows["point"])
+        points = [rows["point"].to_numpy(), rows["fine"].to_numpy()]
+        at = coarse(rows["point"])
         starts = np.flatnonzero(np.r_[True, (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)])
         sizes = np.diff(np.r_[starts, len(key)])
         unit = np.repeat(np.arange(len(starts)), sizes)
-        found = []
+        near = []
         small = np.repeat(sizes <= 8, sizes)
         for step in range(1, 8):  # small units of all kinds at once: rows that are `step` apart
             x = np.flatnonzero(small[:-step] & (unit[:-step] == unit[step:])) if len(unit) > step else np.empty(0, np.int64)
             y = x + step
             fits = (node[x] != node[y]) & (cluster[x] != cluster[y]) & ((i[x] == j[x]) | (side[x] != side[y]))
-            found.append(_pairs(node, n, points, at, x[fits], y[fits]))
+            near.append(_near(n, at, x[fits], y[fits]))
+        found = [_pairs(node, n, points, near)]
         for u in np.flatnonzero(sizes > 8):
             own = slice(starts[u], starts[u] + sizes[u])
             found.append(leaf_pairs(node[own], n[own], cluster[own], side[own],
