@@ -1,6 +1,5 @@
 """Token counts, importance resampling and collocations against plain versions."""
 
-import hashlib
 import math
 import random
 import re
@@ -224,3 +223,43 @@ def test_blocks_that_end_inside_texts_count_every_run_once(monkeypatch):
             want[lang, 0, ""] += len(w)
             want.update((lang, k, " ".join(w[i:i + k])) for k in (1, 2, 3, 4) for i in range(len(w) - k + 1))
     assert got == want
+
+
+def test_later_passes_count_the_same_from_the_places_around_new_phrases(monkeypatch):
+    def bitmap(phrases):
+        words = np.zeros(1 << 8, np.uint64)
+        for at in C.bit_places(C.phrase_hashes(["en"] * len(phrases), phrases), np.uint64((1 << 14) - 1)):
+            np.bitwise_or.at(words, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+        return C.Bitmap(words)
+
+    def counted(wanted, seen):
+        got = Counter()
+        for lang, tokens, sizes, leads in C._tokens_by_language(iter([batch]), 3):
+            begin = np.repeat(np.cumsum(sizes) - sizes, sizes)
+            new = np.arange(len(tokens)) - begin >= np.repeat(leads, sizes)
+            for size, phrases, counts in C._count_block(lang, tokens, new, 4, wanted, seen, False):
+                for phrase, n in zip(phrases.to_pylist(), counts.tolist()):
+                    got[size, phrase.decode()] += n
+        return got
+
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefghij.") for _ in range(rng.randrange(80))) for _ in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 40), pa.array([t.encode() for t in texts])], ["lang", "text"])
+    monkeypatch.setattr(C, "slices", lambda *a: slices(*a, size=30))
+    grams = [" ".join(p) for p in itertools.product("abcdefghi", repeat=2)]
+    real, looked = C._around_fresh, []
+
+    def around(*args):
+        looked.append(real(*args))
+        return looked[-1]
+
+    for fresh in (["a b"], ["j"], ["a b c", "d e"], ["i j", "j", "j a"]):
+        proposed = list("abcdefghi") + [g for g in rng.sample(grams, 40) if g not in fresh]
+        seen, wanted = bitmap(proposed), bitmap(proposed + fresh + (["a b", "b c"] if "a b c" in fresh else []))
+        monkeypatch.setattr(C, "_around_fresh", lambda ids, *rest: np.ones(len(ids), bool))
+        want = counted(wanted, seen)
+        monkeypatch.setattr(C, "_around_fresh", around)
+        assert counted(wanted, seen) == want and want
+    assert sum(map(np.sum, looked)) < sum(map(len, looked))
+    looked.clear()
+    assert not counted(wanted, wanted) and looked and not any(kept.any() for kept in looked)

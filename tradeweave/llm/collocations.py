@@ -10,7 +10,8 @@ decides how much work they do, never what they find. The sample itself is mined
 
 Which phrases are proposed is told to the tasks by a bitmap of their hashes (bounded: MOST_BITS). A false hit counts one
 phrase more than needed, never one less, so beyond the bound passes grow and results stay. A phrase was counted before
-exactly if its parts hit the bitmap of the pass before, hence no phrase is counted twice.
+exactly if its parts hit the bitmap of the pass before, hence no phrase is counted twice. Later passes look at the words
+around newly proposed phrases only: nothing else can be left to count.
 
 A task numbers the distinct words of a block of texts, finds runs by array operations on those numbers, and sends each
 distinct phrase of the block once with its count; Spark adds up. Counts below the threshold never leave the pass.
@@ -39,6 +40,7 @@ from tradeweave.session import stage
 SAMPLE = 8  # one document in so many proposes phrases
 LOWERED = 0.8  # of the threshold's share that falls on the sample
 BLOCK_WORDS = 500_000
+PACKED_WORDS = 20_000  # of a block packed at once
 MOST_BITS = 1 << 29  # of a bitmap: 64 MB
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -90,37 +92,81 @@ def phrase_hashes(langs: list[str], phrases: list[str]) -> np.ndarray:
     return out
 
 
-class _Numbers(dict):
-    """Words numbered in the order they are met; 0 is the mark between pieces."""
+class Tokens:
+    """Words and marks of a block, packed: only the latest few are objects."""
 
     def __init__(self):
-        super().__init__({_MARK: 0})
+        self.latest, self.parts, self.held = [], [pa.array([_MARK], pa.binary())], 0
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
+    def __len__(self) -> int:
+        return self.held
 
+    def add(self, tokens: list[bytes]) -> None:
+        self.latest += tokens
+        self.held += len(tokens)
+        if len(self.latest) >= PACKED_WORDS:
+            self._pack()
 
-def _count_block(lang: str, tokens: list[bytes], new: np.ndarray, longest: int, wanted: Bitmap | None,
+    def _pack(self) -> None:
+        self.parts.append(pa.array(self.latest, pa.binary()))
+        self.latest = []
+
+    def numbered(self) -> tuple[np.ndarray, pa.Array]:
+        """Numbers of the tokens, in the order they are met, and the distinct words; 0 is the mark between pieces."""
+        self._pack()
+        told = pa.concat_arrays(self.parts).dictionary_encode()
+        words = pa.concat_arrays([pa.array([b""], pa.binary()), told.dictionary[1:]])
+        return told.indices[1:].to_numpy().astype(np.int64), words
+
+
+def _around_fresh(ids: np.ndarray, word_hash: np.ndarray, seed: np.uint64, longest: int, wanted: Bitmap, seen: Bitmap) -> np.ndarray:
+    """Whether a place may be in a run that holds a fresh phrase, one `wanted` that the pass before had not `seen`.
+
+    Every run that this pass has to count holds one: runs all of whose parts were seen were counted then.
+    """
+    hashes = _start(seed, word_hash)
+    good = wanted.has(hashes)
+    good[0] = False
+    at = np.flatnonzero(good[ids])
+    hashes = hashes[ids[at]]
+    edges = np.zeros(len(ids) + 1, np.int64)
+    for size in range(1, longest):
+        if size > 1:
+            there = np.zeros(len(ids) + 1, bool)
+            there[at] = True
+            longer = there[at + 1]
+            at = at[longer]
+            hashes = _longer(hashes[longer], word_hash[ids[at + size - 1]])
+            hit = wanted.has(hashes)
+            at, hashes = at[hit], hashes[hit]
+        fresh = at[~seen.has(hashes)]
+        np.add.at(edges, np.maximum(fresh - (longest - size), 0), 1)
+        np.add.at(edges, np.minimum(fresh + longest, len(ids)), -1)
+    return np.cumsum(edges[:-1]) > 0
+
+
+def _count_block(lang: str, tokens: Tokens, new: np.ndarray, longest: int, wanted: Bitmap | None,
                  seen: Bitmap | None, first: bool) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
     """(size, phrases, counts) of a block: runs whose last word is `new`, whose parts are wanted, not counted before.
 
     Without `wanted` all runs count.
     """
-    numbers = _Numbers()
-    ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-    words = list(numbers)
-    words[0] = b""
-    base = len(words)
-    vocabulary = pa.array(words, pa.binary())
-    word_hash = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, base)
+    ids, vocabulary = tokens.numbered()
+    base, seed = len(vocabulary), np.uint64(_seed(lang))
+    word_hash = np.fromiter(map(xxhash.xxh3_64_intdigest, vocabulary.to_numpy(zero_copy_only=False)), np.uint64, base)
+    if wanted is not None and seen is not None:
+        kept = _around_fresh(ids, word_hash, seed, longest, wanted, seen)
+        if not kept.any():
+            return
+        taken = kept | np.concatenate(([False], kept[:-1]))  # and a mark after each stretch
+        ids, new = np.where(kept, ids, 0)[taken], new[taken]
 
     def told(bitmap: Bitmap | None, hashes: np.ndarray, otherwise: bool) -> np.ndarray:
         return np.full(len(hashes), otherwise) if bitmap is None else bitmap.has(hashes)
 
     # size 1: `code` numbers the run that starts at a place, -1 where there is none
     code = ids.copy()
-    hashes, phrases = _start(np.uint64(_seed(lang)), word_hash), vocabulary
+    hashes = _start(seed, word_hash)
     good, before = told(wanted, hashes, True), told(seen, hashes, False)
     good[0] = before[0] = False
     if first:
@@ -143,10 +189,12 @@ def _count_block(lang: str, tokens: list[bytes], new: np.ndarray, longest: int,
         example[keys[::-1]] = at[::-1]
         counts = np.bincount(keys[new[at + size - 1]], minlength=len(distinct))
         counted = before[head] & before[code[example + 1]]
-        phrases = pc.binary_join_element_wise(phrases.take(pa.array(head)), vocabulary.take(pa.array(tail)), b" ")
         used = np.flatnonzero((counts > 0) & ~counted)
         if len(used):
-            yield size, phrases.take(pa.array(used)), counts[used]
+            parts = [vocabulary.take(pa.array(ids[example[used] + k])) for k in range(size)]
+            yield size, pc.binary_join_element_wise(*parts, b" "), counts[used]
+        if size == longest:
+            return
         hashes = _longer(hashes[head], word_hash[tail])
         good, before = told(wanted, hashes, True), counted & told(seen, hashes, False)
         longer = np.full(len(code) - 1, -1)
@@ -154,16 +202,18 @@ def _count_block(lang: str, tokens: list[bytes], new: np.ndarray, longest: int,
         code = longer
 
 
-def _tokens_by_language(batches: Iterator[pa.RecordBatch], keep: int) -> Iterator[tuple[str, list[bytes], list[int], list[int]]]:
+def _tokens_by_language(batches: Iterator[pa.RecordBatch], keep: int) -> Iterator[tuple[str, Tokens, list[int], list[int]]]:
     """Blocks: (language, words and marks, sizes of the segments, leads). All languages together hold BLOCK_WORDS."""
-    held: dict[str, tuple[list[bytes], list[int], list[int]]] = {}
+    held: dict[str, tuple[Tokens, list[int], list[int]]] = {}
     total = 0
     for batch in batches:
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
             for part, lead in slices(text.as_buffer().to_pybytes(), _TABLE, keep, _MARK):
-                tokens, sizes, leads = held.setdefault(lang, ([], [], []))
-                tokens += part
-                tokens.append(_MARK)
+                if lang not in held:
+                    held[lang] = Tokens(), [], []
+                tokens, sizes, leads = held[lang]
+                tokens.add(part)
+                tokens.add([_MARK])
                 sizes.append(len(part) + 1)
                 leads.append(lead)
                 total += len(part) + 1
