@@ -1,5 +1,7 @@
 """Token counts, importance resampling and collocations against plain versions."""
 
+import hashlib
+import itertools
 import math
 import random
 import re
