@@ -35,7 +35,7 @@ def rounded(df, *cols):
 
 @section.add("e1_e2_e4_lc_ranking_metrics", sql(["lc"], ranking_sql("lc", "default_probability_true", "is_default")))
 def e1(m):
-    return rounded(metrics.ranking_metrics(m.lc, "default_probability_true", "is_default"), "auc", "gini", "average_precision")
+    return rounded(metrics.ranking_metrics(m.lc_default_scores, "default_probability_true", "is_default"), "auc", "gini", "average_precision")
 
 
 @section.add("e1_shipment_delay_auc", sql(["shipments"], ranking_sql("shipments", "delay_probability_true", "delayed")))
