@@ -265,3 +265,28 @@ def test_later_passes_count_the_same_from_the_places_around_new_phrases(monkeypa
     assert sum(map(np.sum, looked)) < sum(map(len, looked))
     looked.clear()
     assert not counted(wanted, wanted) and looked and not any(kept.any() for kept in looked)
+
+
+def test_tokens_are_found_without_an_object_for_each_word(monkeypatch):
+    """Arrays from the bytes of segments: the words, marks and sizes that splitting gives, whole texts and slices alike."""
+    rng = random.Random(9)
+    texts = ["", "  ", ".", "a", " a,,b  c\t", "ÀB\x00 字.", "x" * 100] + [prose(rng) for _ in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array([t.encode() for t in texts])], ["lang", "text"])
+    monkeypatch.setattr(C, "slices", lambda *a: slices(*a, size=40))
+    for whole in (C.WHOLE, 30):
+        monkeypatch.setattr(C, "WHOLE", whole)
+        want, sizes, leads = [], [], []
+        for t in texts:
+            data = t.encode()
+            parts = [(data.translate(C._TABLE).replace(b"\xff", b" \xff ").split(), 0)] if len(data) <= whole else slices(
+                data, C._TABLE, 3, b"\xff", size=40)
+            for words, lead in parts if data else []:
+                want += [*words, b"\xff"]
+                sizes.append(len(words) + 1)
+                leads.append(lead)
+        (lang, tokens, told, lead), = C._tokens_by_language(iter([batch]), 3)
+        ids, words = tokens.numbered()
+        assert [words[i].as_py() if i else b"\xff" for i in ids.tolist()] == want and len(tokens) == len(want)
+        assert told.tolist() == sizes and lead == leads and not hasattr(tokens, "latest")
+    monkeypatch.setattr(C, "BLOCK_BYTES", 100)
+    assert sum(len(tokens) for _, tokens, _, _ in C._tokens_by_language(iter([batch]), 3)) == len(want)

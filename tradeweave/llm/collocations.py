@@ -34,13 +34,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeweave.llm.text import mixed
-from tradeweave.llm.word_slices import byte_table, slices
+from tradeweave.llm.word_slices import SLICE, byte_table, slices
 from tradeweave.session import stage
 
 SAMPLE = 8  # one document in so many proposes phrases
 LOWERED = 0.8  # of the threshold's share that falls on the sample
 BLOCK_WORDS = 500_000
-PACKED_WORDS = 20_000  # of a block packed at once
+BLOCK_BYTES = 1 << 26
+WHOLE = SLICE  # bytes of a text that is not cut into slices
 MOST_BITS = 1 << 29  # of a bitmap: 64 MB
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -93,28 +94,26 @@ def phrase_hashes(langs: list[str], phrases: list[str]) -> np.ndarray:
 
 
 class Tokens:
-    """Words and marks of a block, packed: only the latest few are objects."""
-
-    def __init__(self):
-        self.latest, self.parts, self.held = [], [pa.array([_MARK], pa.binary())], 0
+    """Words and marks of a block, found by array operations on the bytes of its segments, each of which ends in a mark."""
+
+    def __init__(self, segments: list[bytes]):
+        data = np.frombuffer(_MARK + b"".join(segments), np.uint8)
+        kept, begin = data != 0x20, data == _MARK[0]
+        inside = kept & ~begin
+        begin[1:] |= inside[1:] & ~inside[:-1]
+        first = np.flatnonzero(begin[kept])
+        packed = data[kept]
+        offsets = np.append(first, len(packed)).astype(np.int32)
+        self.words = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+        ends = 1 + np.cumsum(np.fromiter(map(len, segments), np.int64, len(segments)))
+        self.sizes = np.diff(np.searchsorted(np.flatnonzero(begin), ends), prepend=1)
 
     def __len__(self) -> int:
-        return self.held
-
-    def add(self, tokens: list[bytes]) -> None:
-        self.latest += tokens
-        self.held += len(tokens)
-        if len(self.latest) >= PACKED_WORDS:
-            self._pack()
-
-    def _pack(self) -> None:
-        self.parts.append(pa.array(self.latest, pa.binary()))
-        self.latest = []
+        return len(self.words) - 1
 
     def numbered(self) -> tuple[np.ndarray, pa.Array]:
         """Numbers of the tokens, in the order they are met, and the distinct words; 0 is the mark between pieces."""
-        self._pack()
-        told = pa.concat_arrays(self.parts).dictionary_encode()
+        told = self.words.dictionary_encode()
         words = pa.concat_arrays([pa.array([b""], pa.binary()), told.dictionary[1:]])
         return told.indices[1:].to_numpy().astype(np.int64), words
 
@@ -202,25 +201,39 @@ def _count_block(lang: str, tokens: Tokens, new: np.ndarray, longest: int, wante
         code = longer
 
 
-def _tokens_by_language(batches: Iterator[pa.RecordBatch], keep: int) -> Iterator[tuple[str, Tokens, list[int], list[int]]]:
-    """Blocks: (language, words and marks, sizes of the segments, leads). All languages together hold BLOCK_WORDS."""
-    held: dict[str, tuple[Tokens, list[int], list[int]]] = {}
-    total = 0
+def _tokens_by_language(batches: Iterator[pa.RecordBatch], keep: int) -> Iterator[tuple[str, Tokens, np.ndarray, list[int]]]:
+    """Blocks: (language, words and marks, sizes of the segments, leads). All languages together hold about BLOCK_WORDS."""
+    held: dict[str, tuple[list[bytes], list[int]]] = {}
+    total = size = 0
+
+    def blocks() -> Iterator[tuple[str, Tokens, np.ndarray, list[int]]]:
+        for name, (segments, leads) in held.items():
+            tokens = Tokens(segments)
+            yield name, tokens, tokens.sizes, leads
+
     for batch in batches:
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
-            for part, lead in slices(text.as_buffer().to_pybytes(), _TABLE, keep, _MARK):
+            for segment, lead in _segments(text.as_buffer().to_pybytes(), keep):
                 if lang not in held:
-                    held[lang] = Tokens(), [], []
-                tokens, sizes, leads = held[lang]
-                tokens.add(part)
-                tokens.add([_MARK])
-                sizes.append(len(part) + 1)
+                    held[lang] = [], []
+                segments, leads = held[lang]
+                segments.append(segment)
                 leads.append(lead)
-                total += len(part) + 1
-                if total >= BLOCK_WORDS:
-                    yield from ((name, *kept) for name, kept in held.items())
-                    held, total = {}, 0
-    yield from ((name, *kept) for name, kept in held.items())
+                total += segment.count(b" ") + segment.count(_MARK)  # about its tokens, at least half of them
+                size += len(segment)
+                if total >= BLOCK_WORDS or size >= BLOCK_BYTES:
+                    yield from blocks()
+                    held, total, size = {}, 0, 0
+    yield from blocks()
+
+
+def _segments(data: bytes, keep: int) -> Iterator[tuple[bytes, int]]:
+    """(bytes, lead): a text, or the slices of a long one behind the last `keep` words of the slice before; a mark ends each."""
+    if len(data) > WHOLE:
+        for words, lead in slices(data, _TABLE, keep, _MARK):
+            yield b" ".join(words) + _MARK, lead
+    elif data:
+        yield data.translate(_TABLE) + _MARK, 0
 
 
 def count_runs(texts: DataFrame, longest: int, wanted: np.ndarray, seen: np.ndarray | None = None) -> DataFrame:
