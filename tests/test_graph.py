@@ -173,3 +173,31 @@ def test_betweenness_levels_expand_without_leaves(spark, monkeypatch):
     want = brute_betweenness(LEAVES, 31)
     got = {r.node_id: r.betweenness_centrality for r in found.collect()}
     assert all(got[f"n{i}"] == pytest.approx(want[i]) for i in range(31))
+
+
+def test_positions_by_codes_equal_positions_by_texts(spark):
+    """Ids that entity_id makes become numbers; one id of another form keeps all of them texts. Nulls and repeats stay."""
+    from tradeweave.functions.scalar import entity_code, entity_id
+
+    made = spark.createDataFrame([("supplier", 1), ("supplier", 2), ("customer", 1), ("port", 123456789), ("port", 12345678),
+                                  ("customer", -1)], "t string, k bigint")
+    codes = [r[0] for t in ("supplier", "customer", "port") for r in made.filter(F.col("t") == t).select(
+        entity_code(entity_id(t, F.col("k")))).collect()]
+    assert codes.count(None) == 1 and len({c for c in codes if c is not None}) == 5
+    ids = [f"SUPP_{i:08d}" for i in range(6)] + [f"CUST_{i:08d}" for i in range(9)]
+    pairs = [(ids[i], ids[(i * 7 + j) % 15]) for i in range(6) for j in range(1, 6)] + [("SUPP_00000001", None), (ids[0], ids[0])]
+    nodes = spark.createDataFrame([(i,) for i in [*ids, ids[3], None]], "node_id string")
+    edges = spark.createDataFrame(pairs, "src string, dst string")
+    coded = graph.with_network_position(nodes, edges, rounds=6)
+    texts = nodes
+    for part in (graph.degrees(nodes, edges).select("node_id", "in_degree", "out_degree"), graph.betweenness(nodes, edges),
+                 graph.clustering(nodes, edges).select("node_id", "clustering_coefficient"), graph.pagerank(nodes, edges, rounds=6)):
+        texts = texts.join(part, "node_id", "left")
+    rounded = lambda df: sorted((str(r.node_id), *(round(float(r[c] or 0), 12) for c in df.columns[1:]))
+                                for r in df.select(*nodes.columns, *coded.columns[1:]).collect())
+    assert rounded(coded) == rounded(texts)
+    odd = lambda df: df.select(*[F.when(F.col(c) == ids[-1], "x").otherwise(F.col(c)).alias(c) for c in df.columns])
+    named = graph.with_network_position(odd(nodes), odd(edges), rounds=6)
+    assert named.count() == coded.count()
+    same = lambda df: sorted(tuple(round(float(v), 12) for v in r[1:3]) for r in df.select("node_id", "in_degree", "out_degree").collect())
+    assert same(named) == same(coded)
