@@ -28,7 +28,7 @@ QUERIES = {
     "table_edges": lambda s, d: Mart(s, d).edges,
     "table_time_series": lambda s, d: Mart(s, d).series,
     "table_shipments": lambda s, d: Mart(s, d).shipments.select(*SHIPMENT_COLUMNS),
-    "table_lc_transactions": lambda s, d: Mart(s, d).lc.select(*LC_COLUMNS),
+    "table_lc_transactions": lambda s, d: Mart(s, d).lc_alone.select(*LC_COLUMNS),
     "table_working_capital_shocks": lambda s, d: Mart(s, d).shocks.select(*SHOCK_COLUMNS),
 }
 
