@@ -5,7 +5,7 @@ from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
 
-from tradeweave.operators import lc_features, shipment_heads
+from tradeweave.operators import lc_features, learning, shipment_heads
 from tradeweave.plans import contract as queries
 from tradeweave.plans import learning as plans
 from tradeweave.sources import contract as C
@@ -54,3 +54,14 @@ def test_shipments_of_the_heads_are_made_once(spark, mart, monkeypatch):
     scores = plans.shipment_scores(fresh)
     assert len(made) == 1 and scores.count() == 4 * fresh.lineitem.count()
     assert scores.filter("p IS NULL OR split IS NULL").isEmpty()
+
+
+def test_search_lays_its_rows_out_twice_only(spark, monkeypatch):
+    u = lambda i: (F.abs(F.xxhash64("id", F.lit(i))) % 1000) / 1000.0
+    df = spark.range(300).select("id", u(1).alias("a"), u(2).alias("b")).withColumn("y", (F.col("a") + 0.3 * F.col("b") > 0.7).cast("int"))
+    moved, real = [], type(df).repartition
+    monkeypatch.setattr(type(df), "repartition", lambda self, *a: moved.append(a) or real(self, *a))
+    ranges = {**learning.SEARCH_RANGES, "maxIter": (2, 3, "whole"), "maxDepth": (2, 2, "whole")}
+    _, trials = learning.search_default_classifier(df, "id", ["a", "b"], "y", n_points=3, ranges=ranges, first_rounds=2)
+    assert len(trials) == 4 and len(moved) == 2
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
