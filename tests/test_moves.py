@@ -6,6 +6,7 @@ from contextlib import redirect_stdout
 from pyspark.sql import functions as F
 
 from tradeweave.operators import lc_features, learning, shipment_heads
+from tradeweave.plans import aggregates
 from tradeweave.plans import contract as queries
 from tradeweave.plans import learning as plans
 from tradeweave.sources import contract as C
@@ -65,3 +66,13 @@ def test_search_lays_its_rows_out_twice_only(spark, monkeypatch):
     _, trials = learning.search_default_classifier(df, "id", ["a", "b"], "y", n_points=3, ranges=ranges, first_rounds=2)
     assert len(trials) == 4 and len(moved) == 2
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_exposure_needs_no_edges_but_flows(spark, mart, monkeypatch):
+    monkeypatch.setattr(marts, "_STAGED", {})
+    fresh = Mart(spark, mart.folder)
+    out = aggregates.g15(fresh)
+    assert fresh.at_hand("flows") and not fresh.at_hand("edges")
+    flows, edges = fresh.flows, fresh.edges
+    assert same(flows, edges.filter("edge_type = 'material_flow'").select(*flows.columns)) and same(fresh.flows, flows)
+    assert same(out, aggregates.g15(fresh))
